@@ -18,7 +18,7 @@ from galewright.functions.numeric import ratio
 from galewright.operators.metrics import metric_rows
 from galewright.operators.profile import windowed
 from galewright.operators.project import slice_rows
-from galewright.session import ship_package
+from galewright.session import materialize, ship_package
 
 DRIFT_METRICS = ("js_distance", "tv_distance", "l_infinity", "chi_squared", "chi_squared_pvalue")
 
@@ -146,13 +146,15 @@ def drift_metrics(
 ) -> DataFrame:
     """The drift table: each window, model version and slice against the same slice of the baseline.
 
-    A category the window lacks still counts: the baseline's categories are joined to every group
-    on (slice, column), whose size is the number of groups times categories, independent of rows.
+    Baseline and log are each read once and reduced to counts, which are written; everything after
+    that works on the counts. A category the window lacks still counts: the baseline's categories
+    are joined to every group on (slice, column), a table of groups times categories.
     """
     slice_keys = ["slice_key", "slice_value"]
     groups = ["window_start", "window_end", model, *slice_keys]
-    base = category_counts(slice_rows(baseline, slices), columns, slice_keys, "baseline_n")
-    now = category_counts(slice_rows(windowed(current, timestamp, granularity), slices), columns, groups, "current_n")
+    base = materialize(category_counts(slice_rows(baseline, slices), columns, slice_keys, "baseline_n"), "drift-baseline")
+    timed = slice_rows(windowed(current, timestamp, granularity), slices)
+    now = materialize(category_counts(timed, columns, groups, "current_n"), "drift-current")
     seen = now.select(*groups, "column_name").distinct()
     expected = seen.join(base, [*slice_keys, "column_name"])
     empty = F.lit(0).cast("bigint")

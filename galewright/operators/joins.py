@@ -11,18 +11,14 @@ from pyspark.sql import functions as F
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
     """The same rows, failing at run time when a key occurs twice.
 
-    One aggregation on the key checks and passes the rows on, so a following join on the key finds
-    them partitioned already; copies of a hot key collapse before the shuffle.
+    Only the keys are shuffled for the check, and copies of a hot key collapse before that. The
+    outcome, the smallest repeated key or NULL, is a scalar subquery that runs before the main pass.
     """
-    others = [c for c in df.columns if c not in keys]
-    row = F.any_value(F.struct(*[F.col(c) for c in others])) if others else F.lit(None)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), row.alias("_row"))
-    checked = counted.filter(
-        F.when(F.col("_copies") == 1, F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit(f"duplicate key in {what}: "), F.to_json(F.struct(*keys)))).cast("boolean")
-        )
-    )
-    return checked.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+    key = F.to_json(F.struct(*keys))
+    copies = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = copies.filter(F.col("_copies") > 1).agg(F.min(key).alias("k")).scalar()
+    message = F.concat(F.lit(f"duplicate key in {what}: "), repeated)
+    return df.filter(F.when(repeated.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,34 +87,32 @@ def feature_lookup(
     """Training rows: every label row with the features of its key, NULL where the key has none.
 
     The feature frame is unique on ``key``. ``hot_share`` names the share of label rows from which a
-    key counts as hot; such keys (at most ``1 / hot_share`` of them) are looked up by broadcast and
-    never shuffled. Without it, adaptive execution splits skewed partitions at run time.
+    key counts as hot: label rows of hot keys, and those without a key, are then never shuffled but
+    meet a broadcast of at most ``1 / hot_share`` feature rows. Without it, Spark broadcasts the
+    features when they are small and else splits skewed partitions at run time.
     """
     wanted = features.select(key, *names)
     joined = labels.join(wanted, key, "left") if hot_share is None else _lookup_hot_apart(labels, wanted, key, hot_share)
     return joined.drop(*exclude)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; fewer than ``1 / share`` rows by construction.
+def hot_values(df: DataFrame, key: str, share: float) -> list:
+    """Every value that fills at least ``share`` of the rows, and maybe a few smaller ones.
 
-    Counts combine before the shuffle; the total is a scalar subquery, not a driver round trip.
+    One pass with a fixed-size sketch per task, no shuffle; at most ``1 / share`` values come back.
+    Callers stay exact whichever values are listed, the list only decides where work is split.
     """
-    if not 0 < share <= 1:
-        raise ValueError("share must lie in (0, 1]")
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > total * F.lit(share)).select(*keys)
+    found = df.select(key).freqItems([key], share).first()[0]
+    return [v for v in (found or []) if v is not None]
 
 
 def _lookup_hot_apart(labels: DataFrame, features: DataFrame, key: str, share: float) -> DataFrame:
-    hot = hot_keys(labels.filter(F.col(key).isNotNull()), [key], share)
-    hot_features = F.broadcast(features.join(F.broadcast(hot), key, "left_semi").withColumn("_known", F.lit(True)))
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    tagged = labels.join(marked, key, "left")
-    heavy = tagged.filter(F.col("_hot")).drop("_hot").join(hot_features, key, "left").drop("_known")
-    light = tagged.filter(F.col("_hot").isNull()).drop("_hot").join(features, key, "left")
-    return heavy.unionByName(light)
+    hot = hot_values(labels, key, share)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    unknown = F.col(key).isNull()
+    apart = labels.filter(unknown | is_hot).join(F.broadcast(features.filter(is_hot)), key, "left")
+    rest = labels.filter(~unknown & ~is_hot).join(features, key, "left")
+    return apart.unionByName(rest)
 
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galewright.functions.hashing import digest
-from galewright.operators.joins import hot_keys
+from galewright.operators.joins import hot_values
 from galewright.session import materialize
 
 # monotonically_increasing_id keeps the partition above bit 33 and the position in it below.
@@ -56,24 +56,29 @@ def row_number_by_digest(
     """row_number per group, ordered by the digest of ``key`` (then by ``key``), hot groups split.
 
     A group with more than ``hot_share`` of all rows is cut into ``parts`` runs of consecutive
-    digests, each numbered by itself; the sizes of the earlier runs are added. Fewer than
+    digests, each numbered by itself; the sizes of the earlier runs are added. At most
     ``parts / hot_share`` run sizes exist, so they are broadcast. The other groups are numbered by a
     plain window. Both give the numbers the plain window would give.
     """
     if parts & (parts - 1) or parts > 1 << 32:
         raise ValueError("parts must be a power of two")
     shift = 32 - (parts.bit_length() - 1)
-    hot = F.broadcast(hot_keys(df.filter(F.col(group).isNotNull()), [group], hot_share).withColumn("_hot", F.lit(True)))
-    ranked = df.withColumn("_digest", digest(key, salt=salt)).join(hot, group, "left")
+    hot = hot_values(df, group, hot_share)
+    is_hot = F.col(group).isin(hot) if hot else F.lit(False)
     leading = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint")
-    tagged = ranked.withColumn("_run", F.when(F.col("_hot"), F.shiftright(leading, shift)).otherwise(F.lit(0)))
+    tagged = df.withColumn("_digest", digest(key, salt=salt)).withColumn(
+        "_run", F.when(is_hot, F.shiftright(leading, shift)).otherwise(F.lit(0))
+    )
     local = Window.partitionBy(group, "_run").orderBy("_digest", key)
-    sizes = tagged.filter(F.col("_hot")).groupBy(group, "_run").agg(F.count(F.lit(1)).alias("_size"))
+    numbered = tagged.withColumn("_local", F.row_number().over(local))
+    if not hot:
+        return numbered.select(*df.columns, F.col("_local").cast("bigint").alias(name))
+    sizes = tagged.filter(is_hot).groupBy(group, "_run").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(group, "_run", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    numbered = tagged.withColumn("_local", F.row_number().over(local)).join(F.broadcast(offsets), [group, "_run"], "left")
+    shifted = numbered.join(F.broadcast(offsets), [group, "_run"], "left")
     position = F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))
-    return numbered.select(*df.columns, position.cast("bigint").alias(name))
+    return shifted.select(*df.columns, position.cast("bigint").alias(name))
 
 
 def row_hash(columns: Sequence[str]) -> Column:

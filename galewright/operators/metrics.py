@@ -66,6 +66,10 @@ def classification_report(df: DataFrame, label: str, prediction: str, by: Sequen
     Every (label, prediction) count is credited to both its classes, so no class list is needed and
     a class that only occurs as a prediction gets support 0.
     """
+    return _class_counts(df, label, prediction, by).drop("hits")
+
+
+def _class_counts(df: DataFrame, label: str, prediction: str, by: Sequence[str]) -> DataFrame:
     cells = labelled(df, label, prediction).groupBy(*by, label, prediction).agg(F.count(F.lit(1)).alias("_n"))
     agree = F.col(label) == F.col(prediction)
     none = F.lit(0).cast("bigint")
@@ -90,19 +94,31 @@ def classification_report(df: DataFrame, label: str, prediction: str, by: Sequen
         ratio_or_zero(F.col("hits"), F.col("support")).alias("recall"),
         ratio_or_zero(2 * F.col("hits"), F.col("predicted") + F.col("support")).alias("f1"),
         "support",
+        "hits",
     )
 
 
 def averaged_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Support-weighted precision, recall and F1, and the plain mean of the class F1 values."""
-    report = classification_report(df, label, prediction, by)
+    return _class_averages(_class_counts(df, label, prediction, by), by)
+
 
+def all_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = (), positive: object = 1) -> DataFrame:
+    """Accuracy, the metrics of the positive class and the averaged metrics, from one pass over the rows."""
+    return _class_averages(_class_counts(df, label, prediction, by), by, positive)
+
+
+def _class_averages(report: DataFrame, by: Sequence[str], positive: object = None) -> DataFrame:
     def weighted(metric: str) -> Column:
         return ratio_or_zero(F.sum(F.col(metric) * F.col("support")), F.sum("support")).alias(f"weighted_{metric}")
 
-    return report.groupBy(*by).agg(
-        weighted("precision"), weighted("recall"), weighted("f1"), F.avg("f1").alias("macro_f1")
-    )
+    found = [weighted("precision"), weighted("recall"), weighted("f1"), F.avg("f1").alias("macro_f1")]
+    if positive is not None:
+        found.insert(0, ratio_or_zero(F.sum("hits"), F.sum("support")).alias("accuracy"))
+        for metric in ("precision", "recall", "f1"):
+            of_class = F.max(F.when(F.col("class") == F.lit(positive), F.col(metric)))
+            found.append(F.coalesce(of_class, F.lit(0.0)).alias(metric))
+    return report.groupBy(*by).agg(*found)
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), runs: int = 256) -> DataFrame:

@@ -23,6 +23,10 @@ def hash_split(
     return df.withColumn(name, F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 
+# Up to this many classes, what is known per class travels as a literal map; beyond it, as a join.
+_LITERAL_CLASSES = 1_000
+
+
 def stratified_split(
     df: DataFrame,
     key: str,
@@ -34,66 +38,16 @@ def stratified_split(
 ) -> DataFrame:
     """Exact split: per class, the ``ceil(percent · n)`` rows with the smallest digests are test.
 
-    Ranking a class would send a whole class to one task. Instead two histograms over digest prefixes
-    find each class's last test digest; what is left to rank per class is one prefix in 16 million.
-    The cuts, one per class, become a literal map, so the split itself is a narrow projection of
-    the input. ``key`` must be unique; the number of classes is that of a classifier's label.
+    Ranking a class would send a whole class to one task. Instead a histogram over digest prefixes
+    finds the prefix that holds each class's last test row, and only that prefix, one row in 65,536,
+    is ranked. The cuts, one per class, are fixed when the function returns; the split itself is a
+    narrow projection of the input. ``key`` must be unique.
     """
-    prepared = df.withColumn("_digest", digest(key, salt=salt))
-    slim = prepared.select(F.col(label).alias("_class"), "_digest", F.substring("_digest", 1, 3).alias("_p1"))
-
-    first = slim.groupBy("_class", "_p1").agg(F.count(F.lit(1)).alias("_n"))
-    per_class = first.withColumn("_total", F.sum("_n").over(Window.partitionBy("_class")))
-    wanted = F.expr(f"(_total * {int(test_percent)} + 99) div 100")
-    hit1 = _boundary(per_class.withColumn("_want", wanted), "_p1", ["_class"])
-
-    second = _within(slim, hit1, "_p1").select("_class", "_digest", "_want", F.substring("_digest", 1, 6).alias("_p2"))
-    counted = second.groupBy("_class", "_p2", "_want").agg(F.count(F.lit(1)).alias("_n"))
-    hit2 = _boundary(counted, "_p2", ["_class"])
-
-    third = _within(second.drop("_want"), hit2, "_p2")
-    by_digest = Window.partitionBy("_class").orderBy("_digest")
-    cuts = (
-        third.withColumn("_rank", F.row_number().over(by_digest))
-        .filter(F.col("_rank") == F.col("_want"))
-        .select("_class", F.col("_digest").alias("_cut"))
+    marked = df.withColumn("_digest", digest(key, salt=salt))
+    in_part = _below_cut(marked, label, "_digest", test_percent)
+    return in_part.withColumn(name, F.when(F.col("_below"), F.lit(parts[1])).otherwise(F.lit(parts[0]))).drop(
+        "_digest", "_below"
     )
-    cut_of = _as_map(cuts, "_class", "_cut").scalar()
-    in_test = F.col("_digest") <= F.coalesce(F.try_element_at(cut_of, _class_text(label)), F.lit(""))
-    marked = prepared.withColumn(name, F.when(in_test, F.lit(parts[1])).otherwise(F.lit(parts[0])))
-    return marked.drop("_digest")
-
-
-def _class_text(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit("\\N"))
-
-
-def _as_map(df: DataFrame, key: str, value: str) -> DataFrame:
-    """One row with a map from class to value."""
-    entry = F.struct(_class_text(key).alias("k"), F.col(value).alias("v"))
-    return df.agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
-
-
-def _boundary(counts: DataFrame, prefix: str, group: Sequence[str]) -> DataFrame:
-    """The prefix in which the running count reaches ``_want``, and how many rows of it are wanted."""
-    order = Window.partitionBy(*group).orderBy(prefix)
-    running = counts.withColumn("_upto", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    before = F.col("_upto") - F.col("_n")
-    return running.filter((F.col("_upto") >= F.col("_want")) & (before < F.col("_want"))).select(
-        *group, F.col(prefix), (F.col("_want") - before).alias("_want")
-    )
-
-
-def _within(df: DataFrame, boundary: DataFrame, prefix: str) -> DataFrame:
-    """Rows in the boundary prefix of their class, with the count still wanted there.
-
-    The boundary has one row per class and enters as a literal map, so the rows are filtered where
-    they are read.
-    """
-    entry = boundary.select(F.col("_class"), F.struct(F.col(prefix).alias("p"), F.col("_want").alias("w")).alias("_b"))
-    lookup = _as_map(entry, "_class", "_b").scalar()
-    found = df.withColumn("_b", F.try_element_at(lookup, _class_text("_class")))
-    return found.filter(F.col(prefix) == F.col("_b.p")).withColumn("_want", F.col("_b.w")).drop("_b")
 
 
 def nested_split(
@@ -106,9 +60,45 @@ def nested_split(
     name: str = "split",
 ) -> DataFrame:
     """train / validation / test: a second stratified split, with its own salt, inside the training part."""
-    outer = stratified_split(df, key, label, test_percent, salt, "_outer")
-    train, test = outer.filter(F.col("_outer") == "train"), outer.filter(F.col("_outer") == "test")
-    inner = stratified_split(
-        train.drop("_outer"), key, label, validation_percent, f"{salt}-inner", name, ("train", "validation")
+    outer = stratified_split(df, key, label, test_percent, salt, name)
+    inner = outer.withColumn("_digest", F.when(F.col(name) == "train", digest(key, salt=f"{salt}-inner")))
+    cut = _below_cut(inner, label, "_digest", validation_percent)
+    return cut.withColumn(name, F.when(F.col("_below"), F.lit("validation")).otherwise(F.col(name))).drop("_digest", "_below")
+
+
+def _below_cut(df: DataFrame, label: str, digest_col: str, percent: int) -> DataFrame:
+    """Add ``_below``: among its class's rows with a digest, is this one of the first ``percent``?"""
+    slim = df.filter(F.col(digest_col).isNotNull()).select(
+        _class_text(label).alias("_class"), F.col(digest_col).alias("_d"), F.substring(digest_col, 1, 4).alias("_prefix")
+    )
+    counts = slim.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    by_class = Window.partitionBy("_class")
+    upto = F.sum("_n").over(by_class.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = F.expr(f"(_total * {int(percent)} + 99) div 100")
+    running = counts.withColumns({"_total": F.sum("_n").over(by_class), "_upto": upto}).withColumn("_want", wanted)
+    before = F.col("_upto") - F.col("_n")
+    boundary = running.filter((F.col("_upto") >= F.col("_want")) & (before < F.col("_want"))).select(
+        "_class", F.col("_prefix").alias("_at"), (F.col("_want") - before).alias("_rest")
     )
-    return inner.unionByName(test.drop("_outer").withColumn(name, F.lit("test")))
+    near = _with_class_values(slim, "_class", boundary, ["_at", "_rest"]).filter(F.col("_prefix") == F.col("_at"))
+    rank = F.row_number().over(Window.partitionBy("_class").orderBy("_d"))
+    cuts = near.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_rest")).select("_class", F.col("_d").alias("_cut"))
+    known = _with_class_values(df.withColumn("_class", _class_text(label)), "_class", cuts, ["_cut"])
+    return known.withColumn("_below", F.coalesce(F.col(digest_col) <= F.col("_cut"), F.lit(False))).drop("_class", "_cut")
+
+
+def _class_text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("\\N"))
+
+
+def _with_class_values(df: DataFrame, by: str, values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Attach per-class values. A classifier has few classes: they become a literal map, checked for
+    size; a larger table is joined instead."""
+    rows = values.select(by, *columns).limit(_LITERAL_CLASSES + 1).collect()
+    if len(rows) > _LITERAL_CLASSES:
+        return df.join(values.select(by, *columns), by, "left")
+    if not rows:
+        return df.withColumns({c: F.lit(None).cast(values.schema[c].dataType) for c in columns})
+    types = {c: values.schema[c].dataType for c in columns}
+    lookup = {c: F.create_map(*[x for r in rows for x in (F.lit(r[by]), F.lit(r[c]).cast(types[c]))]) for c in columns}
+    return df.withColumns({c: F.try_element_at(lookup[c], F.col(by)) for c in columns})

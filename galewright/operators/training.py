@@ -14,11 +14,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.operators.metrics import averaged_metrics, binary_metrics, metric_rows, roc_auc
+from galewright.operators.metrics import all_metrics, averaged_metrics, metric_rows, roc_auc
 from galewright.operators.prepare import with_class_weight
 from galewright.session import materialize
 
 WEIGHT = "class_weight"
+QUALITY = ("accuracy", "precision", "recall", "f1", "weighted_precision", "weighted_recall", "weighted_f1", "macro_f1")
 
 
 def preprocessing(categorical: Sequence[str], numeric: Sequence[str]) -> list:
@@ -83,12 +84,9 @@ def evaluate(predicted: DataFrame, label: str, prefix: str = "", prediction: str
         F.col(label).cast("int").alias(label), F.col(prediction).cast("int").alias(prediction), F.col(score).alias(score)
     )
     rows = materialize(slim, "evaluate")
-    binary = metric_rows(binary_metrics(rows, label, prediction), [], ["accuracy", "precision", "recall", "f1"])
-    averaged = metric_rows(
-        averaged_metrics(rows, label, prediction), [], ["weighted_precision", "weighted_recall", "weighted_f1", "macro_f1"]
-    )
+    quality = metric_rows(all_metrics(rows, label, prediction), [], QUALITY)
     area = metric_rows(roc_auc(rows, label, score), [], ["roc_auc"])
-    named = binary.unionByName(averaged).unionByName(area)
+    named = quality.unionByName(area)
     return named.select(F.concat(F.lit(prefix), F.col("metric")).alias("metric"), "value")
 
 

@@ -12,6 +12,7 @@ from galewright.functions.numeric import half_up
 from galewright.operators import metrics, registry
 from galewright.plans.quality import ACCURACY, F1, LABEL, PRECISION, PREDICTION, RECALL, WEIGHTED_F1, counts_sql, rounded
 from galewright.plans.registration import query, with_sql
+from galewright.session import materialize
 from galewright.sources.fixtures import table
 
 _RUN = {
@@ -48,14 +49,16 @@ def _sql(*more: str) -> str:
 
 
 def run_table(spark: SparkSession, sf: str) -> DataFrame:
-    """(model_name, run_id, run_name, version, status, metric, value)."""
+    """(model_name, run_id, run_name, version, status, metric, value), from one pass over the log.
+
+    Stored, as a run table is: what follows reads the few run rows, not the log again.
+    """
     served = table(spark, sf, "events").select(*[F.expr(e).alias(n) for n, e in _RUN.items()])
-    binary = metrics.binary_metrics(served, LABEL, PREDICTION, _BY).withColumnRenamed("f1", "f1_binary")
-    averaged = metrics.averaged_metrics(served, LABEL, PREDICTION, _BY).select(*_BY, "weighted_f1")
-    short = registry.run_metric_rows(binary, _BY, ["accuracy", "precision", "recall", "f1_binary"])
-    weighted = registry.run_metric_rows(averaged, _BY, ["weighted_f1"]).withColumn("metric", F.expr(_F1_NAME))
-    named = short.unionByName(weighted).withColumn("run_name", F.concat(F.lit("trial of "), F.col("run_id")))
-    return named.select("model_name", "run_id", "run_name", "version", "status", "metric", "value")
+    wide = metrics.all_metrics(served, LABEL, PREDICTION, _BY).withColumnRenamed("f1", "f1_binary")
+    rows = registry.run_metric_rows(wide, _BY, ["accuracy", "precision", "recall", "f1_binary", "weighted_f1"])
+    name = F.when(F.col("metric") == "weighted_f1", F.expr(_F1_NAME)).otherwise(F.col("metric"))
+    named = rows.withColumns({"metric": name, "run_name": F.concat(F.lit("trial of "), F.col("run_id"))})
+    return materialize(named.select("model_name", "run_id", "run_name", "version", "status", "metric", "value"), "runs")
 
 
 def run_f1(runs: DataFrame) -> DataFrame:
@@ -71,12 +74,10 @@ def alias_table(runs: DataFrame) -> DataFrame:
     return known.unionByName(latest)
 
 
-def pairs(spark: SparkSession, sf: str) -> DataFrame:
+def pairs(runs: DataFrame) -> DataFrame:
     """Challenger and champion per model; one model has no champion yet."""
-    runs = run_table(spark, sf)
-    values = run_f1(runs)
     no_champion = (F.col("alias") == registry.CHAMPION) & (F.col("model_name") == "model-3")
-    return registry.champion_and_challenger(alias_table(runs).filter(~no_champion), versions(runs), values)
+    return registry.champion_and_challenger(alias_table(runs).filter(~no_champion), versions(runs), run_f1(runs))
 
 
 def versions(runs: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ _REQUIRED = "champion_f1 * (1 + CAST(0.01 AS DOUBLE))"
       CAST(good AS INT) AS minimum_quality_passed, CAST(better AS INT) AS beats_champion, CAST(good AND better AS INT) AS evaluation_passed FROM g""",
 )
 def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
-    judged = registry.quality_gate(pairs(spark, sf), minimum=0.5)
+    judged = registry.quality_gate(pairs(run_table(spark, sf)), minimum=0.5)
     return rounded(judged, "candidate_f1", "champion_f1", "required_f1")
 
 
@@ -150,7 +151,7 @@ def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
       CASE WHEN champion_version IS NULL THEN NULL WHEN better THEN 'previous_champion' ELSE 'champion' END AS champion_phase FROM g""",
 )
 def promote_decision(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(registry.promote_decision(pairs(spark, sf)), "champion_metric", "challenger_metric")
+    return rounded(registry.promote_decision(pairs(run_table(spark, sf))), "champion_metric", "challenger_metric")
 
 
 @query(
@@ -159,8 +160,8 @@ def promote_decision(spark: SparkSession, sf: str) -> DataFrame:
     + "SELECT model_name, alias, version FROM aliases WHERE alias <> 'champion' UNION ALL SELECT model_name, 'champion', v FROM g",
 )
 def next_aliases(spark: SparkSession, sf: str) -> DataFrame:
-    aliases = alias_table(run_table(spark, sf))
-    return registry.next_aliases(aliases, registry.promote_decision(pairs(spark, sf)))
+    runs = run_table(spark, sf)
+    return registry.next_aliases(alias_table(runs), registry.promote_decision(pairs(runs)))
 
 
 @query(
