@@ -92,22 +92,37 @@ def _once(table: SnapshotTable, stream_id: str, write: Callable[[DataFrame, str]
 def upsert_sink(
     table: SnapshotTable, keys: Sequence[str], stream_id: str, newest_by: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Merge each micro-batch into a table. ``newest_by`` keeps the newest row of a key that repeats in a batch.
+    """Merge each micro-batch into a table.
 
-    ``stream_id`` names the stream together with its checkpoint; batch numbers are unique only within it.
+    With ``newest_by`` the newest row of a key wins, within a batch and against the stored row, so
+    that the result does not depend on how rows fall into batches. Without it, the last batch wins
+    and a key may occur only once per batch. ``stream_id`` names the stream together with its
+    checkpoint; batch numbers are unique only within it.
     """
 
     def write(batch: DataFrame, tag: str) -> None:
-        table.upsert(newest_per_key(batch, keys, newest_by) if newest_by else batch, keys, batch=tag)
+        rows = newest_per_key(batch, keys, newest_by) if newest_by else batch
+        if newest_by and table.exists():
+            rows = _newer_than_stored(rows, table.as_of(), keys, newest_by)
+        table.upsert(rows, keys, batch=tag)
 
     return _once(table, stream_id, write)
 
 
+def _newer_than_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
+    """Drop rows whose key already has a newer row; equal times compare the remaining columns."""
+    order = [newest_by, *[c for c in rows.columns if c not in keys and c != newest_by]]
+    known = stored.select(*keys, F.struct(*order).alias("_stored"))
+    fresh = F.col("_stored").isNull() | (F.struct(*order) >= F.col("_stored"))
+    return rows.join(known, list(keys), "left").filter(fresh).select(*rows.columns)
+
+
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
     """One row per key, the newest. An aggregation, so repeats of a hot key collapse before the shuffle."""
     others = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in others])
-    newest = df.groupBy(*keys).agg(F.max_by(row, F.struct(F.col(newest_by), row)).alias("_row"))
+    order = F.struct(newest_by, *[c for c in others if c != newest_by])
+    newest = df.groupBy(*keys).agg(F.max_by(row, order).alias("_row"))
     return newest.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
