@@ -1,4 +1,4 @@
-"""Casts and numeric helpers that never raise on dirty data."""
+"""Casts, numbers and times."""
 
 from __future__ import annotations
 
@@ -36,3 +36,15 @@ def half_up(column: Column | str, digits: int = 6) -> Column:
     """Rounded double for reports and comparisons; folds -0.0 into 0.0."""
     c = F.col(column) if isinstance(column, str) else column
     return F.round(c, digits) + F.lit(0.0)
+
+
+def utc_instant(column: Column | str) -> Column:
+    """A zone-free timestamp read as UTC, whatever the session time zone. Watermarks need an instant."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")
+
+
+def utc_wall_clock(column: Column | str) -> Column:
+    """The UTC wall clock of an instant, without a zone."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))

@@ -110,7 +110,8 @@ def _lookup_hot_apart(labels: DataFrame, features: DataFrame, key: str, share: f
     hot = hot_values(labels, key, share)
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     unknown = F.col(key).isNull()
-    apart = labels.filter(unknown | is_hot).join(F.broadcast(features.filter(is_hot)), key, "left")
+    hot_features = require_unique(features.filter(is_hot), [key], "features")
+    apart = labels.filter(unknown | is_hot).join(F.broadcast(hot_features), key, "left")
     rest = labels.filter(~unknown & ~is_hot).join(features, key, "left")
     return apart.unionByName(rest)
 

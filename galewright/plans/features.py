@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from galewright.functions import rules
 from galewright.functions.hashing import weighted_choice
-from galewright.functions.numeric import half_up, one_day_later, shift_seconds, to_number
+from galewright.functions.numeric import half_up, one_day_later, shift_seconds, to_number, utc_instant
 from galewright.plans.registration import CONTACTS, CUT, RATIO, SCORED, TIER, bucket_sql, query, with_sql
 from galewright.sources.fixtures import contacts, scored_events, table
 
@@ -182,12 +182,11 @@ def to_numeric_coerce(spark: SparkSession, sf: str) -> DataFrame:
       ts - to_seconds(user_id * 60) AS moved_back, CAST(floor(epoch(ts)) AS BIGINT) AS unix_seconds FROM events""",
 )
 def time_arithmetic(spark: SparkSession, sf: str) -> DataFrame:
-    epoch = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
     return table(spark, sf, "events").select(
         "event_id",
         one_day_later("ts").alias("next_day"),
         shift_seconds("ts", -F.col("user_id") * 60).alias("moved_back"),
-        epoch.alias("unix_seconds"),
+        F.unix_seconds(utc_instant("ts")).alias("unix_seconds"),
     )
 
 

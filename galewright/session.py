@@ -19,6 +19,7 @@ def build_session(app: str = "galewright", master: str | None = None, shuffle_pa
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("GALEWRIGHT_DRIVER_MEMORY", "8g"))
     )
     if master:
@@ -52,6 +53,9 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 
@@ -61,9 +65,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete what ``materialize`` wrote in this process, once no result needs it; the number of tables."""
+    configuration = spark._jsc.hadoopConfiguration()
+    dropped = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        dropped += bool(path.getFileSystem(configuration).delete(path, True))
+    return dropped
+
+
 _SHIPPED: set[str] = set()
 
 

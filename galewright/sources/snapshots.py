@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +29,15 @@ class SnapshotTable:
     path: str
 
     def log(self) -> DataFrame:
-        """Committed versions. Empty before the first commit."""
-        return self.spark.read.schema(_LOG_SCHEMA).option("ignoreMissingFiles", True).json(f"{self.path}/log")
+        """Committed versions; no rows before the first commit."""
+        try:
+            return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.path}/log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _LOG_SCHEMA)
 
     def latest(self) -> int | None:
-        if not self._has_log():
-            return None
         return self.log().agg(F.max(VERSION)).first()[0]
 
     def exists(self) -> bool:
@@ -41,13 +45,12 @@ class SnapshotTable:
 
     def as_of(self, version: int | None = None) -> DataFrame:
         """The rows of one version, the newest by default, with the schema of that version."""
-        wanted = self.latest() if version is None else version
-        entry = None
-        if wanted is not None and self._has_log():
-            entry = self.log().filter(F.col(VERSION) == wanted).select("folder").first()
-        if entry is None:
+        log = self.log()
+        wanted = log if version is None else log.filter(F.col(VERSION) == version)
+        folder = wanted.agg(F.max_by("folder", VERSION)).first()[0]
+        if folder is None:
             raise ValueError(f"no version {version} at {self.path}")
-        return self.spark.read.parquet(f"{self.path}/{entry[0]}")
+        return self.spark.read.parquet(f"{self.path}/{folder}")
 
     def all_versions(self) -> DataFrame:
         """Every committed version with its number as the partition column."""
@@ -74,7 +77,7 @@ class SnapshotTable:
 
     def has_batch(self, batch: str) -> bool:
         """Whether a streaming micro-batch was committed already (batches may be delivered twice)."""
-        return self._has_log() and not self.log().filter(F.col("source_batch") == batch).isEmpty()
+        return not self.log().filter(F.col("source_batch") == batch).isEmpty()
 
     def upsert(self, source: DataFrame, keys: Sequence[str], batch: str = "", operation: str = "merge") -> int:
         """Keyed merge-write. Creates the table from ``source`` when it does not exist yet."""
@@ -91,8 +94,3 @@ class SnapshotTable:
             .join(counts, VERSION, "left")
             .select(VERSION, "operation", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
         )
-
-    def _has_log(self) -> bool:
-        jvm = self.spark._jvm
-        log = jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        return log.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(log)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galewright.functions.numeric import utc_instant, utc_wall_clock
 from galewright.operators.joins import backfill
 from galewright.operators.metrics import quality_columns
 from galewright.session import fresh_path
@@ -30,16 +31,6 @@ def read_stream(
     return reader.parquet(folder)
 
 
-def utc_instant(column: str) -> Column:
-    """A zone-free timestamp read as UTC, whatever the session time zone. Watermarks need an instant."""
-    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(column))
-    return local.cast("timestamp")
-
-
-def utc_wall_clock(column: Column) -> Column:
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), column.cast("timestamp_ntz"))
-
-
 def daily_profile(
     stream: DataFrame, timestamp: str, model: str, label: str, prediction: str, lateness: str = "1 day"
 ) -> DataFrame:
