@@ -51,23 +51,19 @@ def row_number_by_digest(
     name: str = "rank_in_group",
     salt: str | int = "rank",
     hot_share: float = 1 / 64,
-    parts: int = 256,
+    digits: int = 2,
 ) -> DataFrame:
     """row_number per group, ordered by the digest of ``key`` (then by ``key``), hot groups split.
 
-    A group with more than ``hot_share`` of all rows is cut into ``parts`` runs of consecutive
-    digests, each numbered by itself; the sizes of the earlier runs are added. At most
-    ``parts / hot_share`` run sizes exist, so they are broadcast. The other groups are numbered by a
-    plain window. Both give the numbers the plain window would give.
+    A group with more than ``hot_share`` of all rows is cut into runs of digests that share their
+    first ``digits`` hex digits, each numbered by itself; the sizes of the earlier runs are added. At
+    most ``16 ** digits / hot_share`` run sizes exist, so they are broadcast. The other groups are
+    numbered by a plain window. Both give the numbers the plain window would give.
     """
-    if parts & (parts - 1) or parts > 1 << 32:
-        raise ValueError("parts must be a power of two")
-    shift = 32 - (parts.bit_length() - 1)
     hot = hot_values(df, group, hot_share)
     is_hot = F.col(group).isin(hot) if hot else F.lit(False)
-    leading = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint")
     tagged = df.withColumn("_digest", digest(key, salt=salt)).withColumn(
-        "_run", F.when(is_hot, F.shiftright(leading, shift)).otherwise(F.lit(0))
+        "_run", F.when(is_hot, F.substring("_digest", 1, digits)).otherwise(F.lit(""))
     )
     local = Window.partitionBy(group, "_run").orderBy("_digest", key)
     numbered = tagged.withColumn("_local", F.row_number().over(local))

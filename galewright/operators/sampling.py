@@ -7,19 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galewright.functions.hashing import digest, hash_bucket
+from galewright.functions.hashing import digest, lowest_share
 
 
-def hash_sample(df: DataFrame, key: str, share: float, salt: str | int = 42, buckets: int = 10_000) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, share: float, salt: str | int = 42) -> DataFrame:
     """A Bernoulli-like sample decided by the key's digest: one narrow filter."""
-    return df.filter(hash_bucket(key, salt=salt, buckets=buckets) < F.lit(round(share * buckets)))
+    return df.filter(lowest_share(digest(key, salt=salt), share))
 
 
-def hash_split(
-    df: DataFrame, key: str, test_share: float, salt: str | int = 42, name: str = "split", buckets: int = 10_000
-) -> DataFrame:
-    """Approximate split by digest bucket: one narrow projection. Class shares hold in expectation."""
-    in_test = hash_bucket(key, salt=salt, buckets=buckets) < F.lit(round(test_share * buckets))
+def hash_split(df: DataFrame, key: str, test_share: float, salt: str | int = 42, name: str = "split") -> DataFrame:
+    """Approximate split by digest: one narrow projection. Class shares hold in expectation."""
+    in_test = lowest_share(digest(key, salt=salt), test_share)
     return df.withColumn(name, F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 

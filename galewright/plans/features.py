@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from galewright.functions import rules
 from galewright.functions.hashing import weighted_choice
 from galewright.functions.numeric import half_up, one_day_later, shift_seconds, to_number, utc_instant
-from galewright.plans.registration import CONTACTS, CUT, RATIO, SCORED, TIER, bucket_sql, query, with_sql
+from galewright.plans.registration import CONTACTS, CUT, RATIO, SCORED, TIER, share_sql, query, with_sql
 from galewright.sources.fixtures import contacts, scored_events, table
 
 
@@ -191,8 +191,8 @@ def time_arithmetic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 FORCED = (
-    f"CASE WHEN {bucket_sql('event_id', 'label', 10)} < 8 THEN 1 ELSE 0 END AS y_flag, "
-    f"CASE WHEN {bucket_sql('event_id', 'prediction', 10)} < 7 THEN 1 ELSE 0 END AS prediction"
+    f"CASE WHEN {share_sql('event_id', 'label', 0.8)} THEN 1 ELSE 0 END AS y_flag, "
+    f"CASE WHEN {share_sql('event_id', 'prediction', 0.7)} THEN 1 ELSE 0 END AS prediction"
 )
 
 

@@ -10,7 +10,7 @@ from galewright.operators import prepare, sampling, training
 from galewright.operators.scoring import LinearModel, batch_score as score_batches, score_linear as score_expressions
 from galewright.plans.projecting import tier
 from galewright.plans.quality import rounded
-from galewright.plans.registration import CONTACTS, TIER, bucket_sql, digest_sql, query, with_sql
+from galewright.plans.registration import CONTACTS, TIER, share_sql, digest_sql, query, with_sql
 from galewright.session import materialize
 from galewright.sources.fixtures import contacts
 
@@ -31,7 +31,7 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.stratified_split(rows, "contact_key", "y")
 
 
-@query("hash_split", with_sql(CONTACTS) + f"SELECT contact_key, CASE WHEN {bucket_sql('contact_key', 42, 10000)} < 2000 THEN 'test' ELSE 'train' END AS split FROM contacts")
+@query("hash_split", with_sql(CONTACTS) + f"SELECT contact_key, CASE WHEN {share_sql('contact_key', 42, 0.2)} THEN 'test' ELSE 'train' END AS split FROM contacts")
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.hash_split(contacts(spark, sf).select("contact_key"), "contact_key", 0.2)
 

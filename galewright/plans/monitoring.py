@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.functions.hashing import hash_bucket
+from galewright.functions.hashing import digest, lowest_share
 from galewright.functions.templates import missed_value_metric
 from galewright.operators import drift, profile
 from galewright.operators.sampling import hash_sample
 from galewright.plans.features import FORCED, forced_rows
 from galewright.plans.quality import ACCURACY, F1, LABEL, MODEL, PRECISION, PREDICTION, RECALL, TIME, rounded
-from galewright.plans.registration import CONTACTS, SCORED, bucket_sql, query, with_sql
+from galewright.plans.registration import CONTACTS, SCORED, share_sql, query, with_sql
 from galewright.sources.fixtures import contacts, scored_events, table
 
 _SLICES = ["job", "balance >= 100"]
@@ -117,7 +117,7 @@ def column_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Baseline: the 20 % digest sample of the log. Current: the log a day later with forced labels and predictions.
-_BASE = f"base AS (SELECT * FROM scored WHERE {bucket_sql('event_id', 42, 10000)} < 2000)"
+_BASE = f"base AS (SELECT * FROM scored WHERE {share_sql('event_id', 42, 0.2)})"
 _NOW = f"now AS (SELECT event_id, inference_timestamp + INTERVAL 1 DAY AS inference_timestamp, job, balance, model_version, {FORCED} FROM scored)"
 _DRIFT_COLUMNS = ["job", "y_flag", "prediction"]
 
@@ -178,8 +178,8 @@ _register_drift("drift_chi2", "chi_squared", "chi2")
 # Two halves of one log differ by chance only, which keeps the p-values away from 0.
 _HALVES = with_sql(
     SCORED,
-    f"base AS (SELECT * FROM scored WHERE {bucket_sql('event_id', 'half', 2)} = 0)",
-    f"now AS (SELECT * FROM scored WHERE {bucket_sql('event_id', 'half', 2)} = 1)",
+    f"base AS (SELECT * FROM scored WHERE {share_sql('event_id', 'half', 0.5)})",
+    f"now AS (SELECT * FROM scored WHERE NOT {share_sql('event_id', 'half', 0.5)})",
     _MERGED,
     _drift_sql("column_name"),
 )
@@ -187,9 +187,9 @@ _HALVES = with_sql(
 
 @query("drift_chi2_pvalue", _HALVES + f"SELECT column_name, CAST(df AS BIGINT) AS degrees_of_freedom, ROUND({_PVALUE}, 6) AS chi_squared_pvalue FROM d")
 def drift_chi2_pvalue(spark: SparkSession, sf: str) -> DataFrame:
-    log = scored_events(spark, sf).withColumn("_half", hash_bucket("event_id", salt="half", buckets=2))
-    halves = [log.filter(F.col("_half") == i) for i in (0, 1)]
-    wide = drift.drift(*halves, _DRIFT_COLUMNS)
+    log = scored_events(spark, sf)
+    lower = lowest_share(digest("event_id", salt="half"), 0.5)
+    wide = drift.drift(log.filter(lower), log.filter(~lower), _DRIFT_COLUMNS)
     return rounded(wide.select("column_name", "degrees_of_freedom", "chi_squared_pvalue"), "chi_squared_pvalue")
 
 

@@ -9,7 +9,7 @@ from galewright.functions import rules
 from galewright.operators import project
 from galewright.operators.aggregates import count_by, to_rows
 from galewright.operators.sampling import hash_sample
-from galewright.plans.registration import CONTACTS, RATIO, SCORED, TIER, bucket_sql, query, with_sql
+from galewright.plans.registration import CONTACTS, RATIO, SCORED, TIER, share_sql, query, with_sql
 from galewright.sources.fixtures import contacts, scored_events, table
 
 
@@ -78,7 +78,7 @@ def filter_not_null(spark: SparkSession, sf: str) -> DataFrame:
     return late.filter(F.col("y_flag").isNotNull())
 
 
-@query("hash_sample", with_sql(SCORED) + f"SELECT * FROM scored WHERE {bucket_sql('event_id', 42, 10000)} < 2000")
+@query("hash_sample", with_sql(SCORED) + f"SELECT * FROM scored WHERE {share_sql('event_id', 42, 0.2)}")
 def sample(spark: SparkSession, sf: str) -> DataFrame:
     return hash_sample(scored_events(spark, sf), "event_id", 0.2)
 

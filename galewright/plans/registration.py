@@ -96,8 +96,9 @@ def digest_sql(key: str, salt: str | int) -> str:
     return f"md5(concat(CAST({key} AS VARCHAR), '|{salt}'))"
 
 
-def bucket_sql(key: str, salt: str | int, buckets: int) -> str:
-    return f"(CAST(concat('0x', substr({digest_sql(key, salt)}, 1, 8)) AS BIGINT) % {buckets})"
+def share_sql(key: str, salt: str | int, share: float) -> str:
+    """Is the digest's first 32 bits, as a number, below the share of 2³²?"""
+    return f"(CAST(concat('0x', substr({digest_sql(key, salt)}, 1, 8)) AS BIGINT) < {round(share * 2**32)})"
 
 
 def columns_sql(columns: Sequence[str]) -> str:

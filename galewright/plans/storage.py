@@ -11,7 +11,7 @@ from galewright.operators.sampling import hash_sample, stratified_split
 from galewright.plans.features import FORCED, forced_rows
 from galewright.plans.joining import MERGE_SIDES, MERGED_ROWS, merge_sides
 from galewright.plans.projecting import tier
-from galewright.plans.registration import CONTACTS, RATIO, SCORED, TIER, bucket_sql, digest_sql, query, with_sql
+from galewright.plans.registration import CONTACTS, RATIO, SCORED, TIER, share_sql, digest_sql, query, with_sql
 from galewright.session import fresh_path
 from galewright.sources import readers, sinks
 from galewright.sources.fixtures import contacts, scored_events, table
@@ -138,7 +138,7 @@ def sink_append(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(log.schema).parquet(path)
 
 
-@query("create_or_replace_as", with_sql(SCORED) + f"SELECT * EXCLUDE (inference_timestamp) FROM scored WHERE {bucket_sql('event_id', 42, 10000)} < 2000")
+@query("create_or_replace_as", with_sql(SCORED) + f"SELECT * EXCLUDE (inference_timestamp) FROM scored WHERE {share_sql('event_id', 42, 0.2)}")
 def create_or_replace_as(spark: SparkSession, sf: str) -> DataFrame:
     """The monitoring baseline: a 20 % sample without the timestamp."""
     baseline = hash_sample(scored_events(spark, sf), "event_id", 0.2).drop("inference_timestamp")

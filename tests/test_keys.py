@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from galewright.functions.hashing import hash_bucket, weighted_choice
+from galewright.functions.hashing import digest, lowest_share, weighted_choice
 from galewright.operators import keys, sampling
 
 
@@ -33,9 +33,9 @@ def test_global_row_number_moves_no_rows_through_one_task(spark, skewed, plan_of
         assert "HashAggregate" in part[:400]
 
 
-@pytest.mark.parametrize("share, parts", [(1 / 64, 256), (0.01, 4), (0.9, 16)])
-def test_rank_by_digest_equals_the_window(spark, skewed, share, parts):
-    ranked = keys.row_number_by_digest(skewed, "g", "id", "n", hot_share=share, parts=parts)
+@pytest.mark.parametrize("share, digits", [(1 / 64, 2), (0.01, 1), (0.9, 2)])
+def test_rank_by_digest_equals_the_window(spark, skewed, share, digits):
+    ranked = keys.row_number_by_digest(skewed, "g", "id", "n", hot_share=share, digits=digits)
     order = Window.partitionBy("g").orderBy(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit("rank"))), "id")
     naive = skewed.select("id", F.row_number().over(order).alias("m"))
     assert ranked.join(naive, "id").filter("n <> m").isEmpty() and ranked.count() == 5000
@@ -107,6 +107,7 @@ def test_weighted_choice_follows_the_weights(spark):
         weighted_choice("id", ("a",), (0,), "s")
 
 
-def test_hash_bucket_is_in_range(spark):
-    low, high = spark.range(5000).select(hash_bucket("id", salt=1, buckets=10).alias("b")).agg(F.min("b"), F.max("b")).first()
-    assert (low, high) == (0, 9)
+@pytest.mark.parametrize("share", [0.0, 0.001, 0.5, 1.0])
+def test_lowest_share(spark, share):
+    found = spark.range(20000).filter(lowest_share(digest("id", salt=1), share)).count() / 20000
+    assert found == share if share in (0.0, 1.0) else abs(found - share) < 0.02
