@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,6 +97,28 @@ def feature_lookup(
     return joined.drop(*exclude)
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """Features to add to a training set: a frame unique on ``key`` and the names to take from it."""
+
+    features: DataFrame
+    key: str
+    names: Sequence[str]
+
+
+def training_set(
+    labels: DataFrame, lookups: Sequence[Lookup], exclude: Sequence[str] = (), hot_share: float | None = None
+) -> DataFrame:
+    """The label frame with the features of every lookup, without the excluded columns.
+
+    Keys that are excluded from the result still serve all lookups.
+    """
+    rows = labels
+    for lookup in lookups:
+        rows = feature_lookup(rows, lookup.features, lookup.key, lookup.names, hot_share=hot_share)
+    return rows.drop(*exclude)
+
+
 def hot_values(df: DataFrame, key: str, share: float) -> list:
     """Every value that fills at least ``share`` of the rows, and maybe a few smaller ones.
 

@@ -11,14 +11,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from galewright.operators.joins import merge_upsert, require_unique
 from galewright.sources.sinks import require_schema
 
 VERSION = "snapshot_version"
-_LOG_SCHEMA = f"{VERSION} INT, operation STRING, source_batch STRING, folder STRING"
+_LOG_SCHEMA = (
+    f"{VERSION} INT, operation STRING, source_batch STRING, folder STRING, committed_at TIMESTAMP, "
+    "primary_keys ARRAY<STRING>, description STRING"
+)
 
 
 @dataclass(frozen=True)
@@ -38,7 +41,8 @@ class SnapshotTable:
             return self.spark.createDataFrame([], _LOG_SCHEMA)
 
     def latest(self) -> int | None:
-        return self.log().agg(F.max(VERSION)).first()[0]
+        last = self._last()
+        return None if last is None else last[VERSION]
 
     def exists(self) -> bool:
         return self.latest() is not None
@@ -58,12 +62,22 @@ class SnapshotTable:
         paths = [f"{self.path}/{f}" for f in folders]
         return self.spark.read.option("basePath", f"{self.path}/data").option("mergeSchema", True).parquet(*paths)
 
+    def create(self, df: DataFrame, keys: Sequence[str], description: str = "", batch: str = "") -> int:
+        """Version 0 of a keyed table: its rows, primary keys and description."""
+        if self.exists():
+            raise ValueError(f"{self.path} exists already")
+        return self._commit(require_unique(df, keys, self.path), 0, "create", batch, list(keys), description)
+
     def overwrite(self, df: DataFrame, operation: str = "overwrite", keep_schema: bool = False, batch: str = "") -> int:
         """Commit ``df`` as the next version. ``keep_schema`` refuses a changed schema."""
-        last = self.latest()
-        if keep_schema and last is not None:
-            require_schema(self.as_of(last).schema, df)
-        version = 0 if last is None else last + 1
+        last = self._last()
+        if last is None:
+            return self._commit(df, 0, operation, batch, [], "")
+        if keep_schema:
+            require_schema(self.as_of(last[VERSION]).schema, df)
+        return self._commit(df, last[VERSION] + 1, operation, batch, last["primary_keys"] or [], last["description"] or "")
+
+    def _commit(self, df: DataFrame, version: int, operation: str, batch: str, keys: list[str], description: str) -> int:
         folder = f"data/{VERSION}={version}"
         df.write.mode("overwrite").parquet(f"{self.path}/{folder}")
         entry = self.spark.range(1).select(
@@ -71,20 +85,39 @@ class SnapshotTable:
             F.lit(operation).alias("operation"),
             F.lit(batch).alias("source_batch"),
             F.lit(folder).alias("folder"),
+            F.current_timestamp().alias("committed_at"),
+            F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("primary_keys"),
+            F.lit(description).alias("description"),
         )
         entry.write.mode("append").json(f"{self.path}/log")
         return version
 
+    def _last(self) -> Row | None:
+        newest = F.max_by(F.struct(VERSION, "folder", "primary_keys", "description"), VERSION)
+        return self.log().agg(newest.alias("v")).first()["v"]
+
     def has_batch(self, batch: str) -> bool:
         """Whether a streaming micro-batch was committed already (batches may be delivered twice)."""
         return not self.log().filter(F.col("source_batch") == batch).isEmpty()
 
     def upsert(self, source: DataFrame, keys: Sequence[str], batch: str = "", operation: str = "merge") -> int:
-        """Keyed merge-write. Creates the table from ``source`` when it does not exist yet."""
-        if self.exists():
-            merged = merge_upsert(self.as_of(), source, keys)
-            return self.overwrite(merged, operation, keep_schema=True, batch=batch)
-        return self.overwrite(require_unique(source, keys), "create", batch=batch)
+        """Keyed merge-write. Creates the table from ``source`` when it does not exist yet.
+
+        A table that was created with primary keys is merged on exactly these. The new version has
+        the table's schema; a source with some of its columns updates only those.
+        """
+        last = self._last()
+        if last is None:
+            return self.create(source, keys, batch=batch)
+        if last["primary_keys"] and sorted(last["primary_keys"]) != sorted(keys):
+            raise ValueError(f"{self.path} is keyed by {last['primary_keys']}, not by {list(keys)}")
+        merged = merge_upsert(self.as_of(last[VERSION]), source, keys)
+        return self.overwrite(merged, operation, keep_schema=True, batch=batch)
+
+    def detail(self) -> DataFrame:
+        """One row: newest version, its time, primary keys and description."""
+        newest = F.max_by(F.struct(VERSION, "committed_at", "primary_keys", "description"), VERSION)
+        return self.log().agg(newest.alias("v")).select("v.*")
 
     def history(self) -> DataFrame:
         """(snapshot_version, operation, row_count) of every committed version."""

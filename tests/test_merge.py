@@ -136,6 +136,29 @@ def test_create_fails_on_duplicate_keys(spark):
         SnapshotTable(spark, fresh_path(spark, "t")).upsert(twice, ["k"])
 
 
+def test_keyed_table_remembers_keys_and_description(spark, target, source):
+    table = SnapshotTable(spark, fresh_path(spark, "t"))
+    table.create(target, ["k"], "three rows")
+    table.upsert(source.drop("a"), ["k"])
+    detail = table.detail().first()
+    assert (detail["snapshot_version"], detail["primary_keys"], detail["description"]) == (1, ["k"], "three rows")
+    assert detail["committed_at"] is not None
+    assert rows(table.as_of()) == [(1, "x", 10), (2, "y", None), (3, None, 30), (4, None, 40)]
+    with pytest.raises(ValueError, match="keyed by"):
+        table.upsert(source, ["a"])
+    with pytest.raises(ValueError, match="exists already"):
+        table.create(target, ["k"])
+
+
+def test_training_set_of_two_lookups(spark):
+    labels = spark.createDataFrame([(1, 10, 1), (2, 20, 0)], "k INT, j INT, y INT")
+    first = spark.createDataFrame([(1, 0.5), (2, 0.7)], "k INT, f DOUBLE")
+    second = spark.createDataFrame([(20, "b", 9)], "j INT, g STRING, unused INT")
+    found = joins.training_set(labels, [joins.Lookup(first, "k", ["f"]), joins.Lookup(second, "j", ["g"])], ["k", "j"])
+    assert sorted(found.columns) == ["f", "g", "y"]
+    assert {tuple(r[c] for c in ("y", "f", "g")) for r in found.collect()} == {(1, 0.5, None), (0, 0.7, "b")}
+
+
 def test_strict_overwrite_keeps_the_schema(spark, target):
     table = SnapshotTable(spark, fresh_path(spark, "t"))
     table.overwrite(target)

@@ -41,6 +41,33 @@ def test_small_source_does_not_shuffle_the_target(spark, tiny, plan_of):
     assert "Exchange hashpartitioning" not in main
 
 
+def test_skewed_foreign_key_is_split_at_run_time(spark, tiny, tmp_path):
+    """Half of the orders belong to one customer; the join of the contact adapter splits that partition."""
+    source = tmp_path / "skewed"
+    orders = spark.range(200_000).select(
+        F.col("id").alias("o_orderkey"), F.expr("CASE WHEN id % 2 = 0 THEN 1 ELSE id % 150 END").alias("o_custkey"),
+        F.lit("F").alias("o_orderstatus"), (F.col("id") * 1.5).alias("o_totalprice"),
+    )
+    orders.repartition(8).write.parquet(str(source / "orders.parquet"))
+    table(spark, tiny, "customer").write.parquet(str(source / "customer.parquet"))
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        rows = contacts(spark, str(source)).groupBy("job").agg(F.count("*").alias("n"), F.sum("duration"), F.max("contact_key"))
+        assert sum(r["n"] for r in rows.collect()) == spark.range(200_000).filter("id % 2 = 0 OR id % 150 > 0").count()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_hash_sample_is_one_narrow_filter(spark, tiny, plan_of):
     plan = plan_of(sampling.hash_sample(table(spark, tiny, "events"), "event_id", 0.2))
     assert "Exchange" not in plan and "Python" not in plan
