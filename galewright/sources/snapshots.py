@@ -2,7 +2,8 @@
 
 Layout below the table folder: ``data/snapshot_version=N/`` holds version N, ``log/`` one tiny row
 per committed version. A version counts only once its log row exists, so a failed write is never
-visible, and a retried write gets a new number. Reading a version touches only that partition.
+visible and is replaced by the next one. Reading a version touches only its folder. One job at a
+time writes a table.
 """
 
 from __future__ import annotations
