@@ -50,15 +50,15 @@ def row_number_by_digest(
     key: str,
     name: str = "rank_in_group",
     salt: str | int = "rank",
-    hot_share: float = 1 / 64,
-    digits: int = 2,
+    hot_share: float = 1 / 1000,
+    digits: int = 3,
 ) -> DataFrame:
     """row_number per group, ordered by the digest of ``key`` (then by ``key``), hot groups split.
 
     A group with more than ``hot_share`` of all rows is cut into runs of digests that share their
-    first ``digits`` hex digits, each numbered by itself; the sizes of the earlier runs are added. At
-    most ``16 ** digits / hot_share`` run sizes exist, so they are broadcast. The other groups are
-    numbered by a plain window. Both give the numbers the plain window would give.
+    first ``digits`` hex digits, each numbered by itself; the sizes of the earlier runs are added. The
+    sizes join on the columns the window has partitioned by, so the rows are shuffled once. The other
+    groups are numbered by a plain window. Both give the numbers the plain window would give.
     """
     hot = hot_values(df, group, hot_share)
     is_hot = F.col(group).isin(hot) if hot else F.lit(False)
@@ -72,7 +72,7 @@ def row_number_by_digest(
     sizes = tagged.filter(is_hot).groupBy(group, "_run").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(group, "_run", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    shifted = numbered.join(F.broadcast(offsets), [group, "_run"], "left")
+    shifted = numbered.join(offsets, [group, "_run"], "left")
     position = F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))
     return shifted.select(*df.columns, position.cast("bigint").alias(name))
 
@@ -84,7 +84,7 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def stable_key(
-    df: DataFrame, columns: Sequence[str], natural_key: str, name: str = "stable_key", hot_share: float = 1 / 64
+    df: DataFrame, columns: Sequence[str], natural_key: str, name: str = "stable_key", hot_share: float = 1 / 1000
 ) -> DataFrame:
     """A key that depends on the row's own values only, with a number for rows that share them.
 

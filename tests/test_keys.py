@@ -41,6 +41,17 @@ def test_rank_by_digest_equals_the_window(spark, skewed, share, digits):
     assert ranked.join(naive, "id").filter("n <> m").isEmpty() and ranked.count() == 5000
 
 
+def test_rank_by_digest_shuffles_the_rows_once(spark, skewed, plan_of):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(keys.row_number_by_digest(skewed, "g", "id", "n"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Below the join: one exchange of the rows, one of the run sizes.
+    below = plan.split("SortMergeJoin", 1)[1].split("_offset", 1)[0]
+    assert below.count("Exchange hashpartitioning") == 2 and below.count("row_number()") == 1
+
+
 def test_stable_key_is_unique_and_stable(spark, skewed):
     one = keys.stable_key(skewed, ["g", "v"], "id")
     two = keys.stable_key(skewed.repartition(13), ["g", "v"], "id")

@@ -138,6 +138,24 @@ def test_empty_side_gives_null(spark):
     assert row["js_distance"] is None and row["tv_distance"] is None and row["chi_squared"] is None
 
 
+def test_windowed_drift_counts_what_a_side_lacks(spark):
+    """A slice unknown to the baseline has no distance; a category missing in a window still counts."""
+    def log(rows):
+        schema = "t TIMESTAMP_NTZ, m INT, s STRING, c STRING"
+        return spark.createDataFrame([(f"2024-01-0{d} 05:00:00", 1, s, c) for d, s, c in rows], "t STRING, m INT, s STRING, c STRING").select(
+            *[F.col(n.split()[0]).cast(n.split()[1].lower()) for n in schema.split(", ")]
+        )
+
+    base = log([(1, "old", "a"), (1, "old", "b")])
+    now = log([(2, "old", "a"), (3, "new", "a"), (3, "old", "a"), (3, "old", "b")])
+    rows = drift.drift_metrics(base, now, ["c"], "t", "m", ["s"]).filter("metric = 'tv_distance'").collect()
+    found = {(r["window_start"].day, r["slice_value"]): (r["value"], r["baseline_rows"], r["current_rows"]) for r in rows}
+    assert found == {
+        (2, ":all"): (0.5, 2, 1), (2, "old"): (0.5, 2, 1), (3, "old"): (0.0, 2, 2), (3, "new"): (None, 0, 1),
+        (3, ":all"): (pytest.approx(1 / 6), 2, 3),
+    }
+
+
 @pytest.mark.parametrize(
     "x, df, p", [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (18.307038, 10, 0.05), (0.0, 3, 1.0), (24.724970, 11, 0.01), (2000.0, 4, 0.0)]
 )
