@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galewright.functions.rules import Preset
+
 
 def reorder_metadata_last(df: DataFrame, metadata: Sequence[str]) -> DataFrame:
     """All other columns in their order, then the metadata columns."""
@@ -59,6 +61,13 @@ def model_inputs(model: PipelineModel) -> list[str]:
     return needed
 
 
+def required_inputs(model: PipelineModel | None, preset: Preset) -> dict[str, str | None]:
+    """Input columns of the fitted pipeline, else those of the preset; features carry the preset's types."""
+    if model is None:
+        return dict(preset.inputs)
+    return {c: preset.feature_types.get(c, preset.inputs.get(c)) for c in model_inputs(model)}
+
+
 def _param_columns(stage, names: Sequence[str]) -> list[str]:
     found: list[str] = []
     for name in names:

@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galewright.operators.imputing import ModeImputer
 from galewright.operators.metrics import all_metrics, averaged_metrics, metric_rows, roc_auc
 from galewright.operators.prepare import with_class_weight
 from galewright.session import materialize
@@ -23,12 +24,13 @@ QUALITY = ("accuracy", "precision", "recall", "f1", "weighted_precision", "weigh
 
 
 def preprocessing(categorical: Sequence[str], numeric: Sequence[str]) -> list:
-    """Index and one-hot the categories with a slot for unknown ones; impute and scale the numbers."""
+    """Fill, index and one-hot the categories, with a slot for unknown ones; fill and scale the numbers."""
     stages: list = []
     parts: list[str] = []
     if categorical:
         indexed = [f"{c}_index" for c in categorical]
         encoded = [f"{c}_onehot" for c in categorical]
+        stages.append(ModeImputer(inputCols=list(categorical)))
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=False))
         parts += encoded

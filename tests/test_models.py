@@ -78,6 +78,28 @@ def test_model_inputs_and_required_columns(parts, forest):
         project.require_columns(parts["test"], {"balance": "string"})
 
 
+def test_inputs_come_from_the_model_or_the_preset(forest):
+    from galewright.functions.rules import presets
+
+    preset = presets()["v1_tier"]
+    found = project.required_inputs(forest, preset)
+    assert set(found) == {*CATEGORICAL, *NUMERIC} and found["duration_bucket"] == "string" and found["balance"] == "int"
+    assert project.required_inputs(None, preset) == dict(preset.inputs)
+
+
+def test_missing_category_gets_the_most_frequent_value(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from galewright.operators.imputing import ModeImputer
+
+    df = spark.createDataFrame([("b", None), ("a", None), ("b", None), ("a", None), (None, None)], "c STRING, d STRING")
+    model = Pipeline(stages=[ModeImputer(inputCols=["c", "d"])]).fit(df)
+    assert [tuple(r) for r in model.transform(df).filter("c = 'a'").collect()] == [("a", None)] * 3
+    model.write().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model")).transform(df)
+    assert again.filter("c IS NULL").isEmpty() and again.filter("d IS NULL").count() == 5
+
+
 def test_label_is_no_feature(parts):
     with pytest.raises(ValueError):
         project.features_without_label(parts["test"], "contact_key", ["label", "job"], "label")
