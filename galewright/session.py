@@ -35,19 +35,27 @@ _LOCAL_SCRATCH: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read: ``spark.checkpoint.dir`` of the session.
+    """The folder every executor can read: the context's checkpoint folder, else ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests on one machine) a temporary folder is used.
+    A temporary folder is used only where neither is set and all tasks run on this machine; on a
+    cluster without a shared folder this raises.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not is_local(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     global _LOCAL_SCRATCH
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="galewright-")
     return _LOCAL_SCRATCH
 
 
+def is_local(master: str) -> bool:
+    """Do all tasks run in the driver's own process?"""
+    return master == "local" or master.startswith("local[")
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
@@ -65,17 +73,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._written_path = path
     _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return read
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that no later step reads."""
+    for table in tables:
+        _WRITTEN.remove(table._written_path)
+        _delete(table.sparkSession, table._written_path)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
 
 
 def drop_materialized(spark: SparkSession) -> int:
     """Delete what ``materialize`` wrote in this process, once no result needs it; the number of tables."""
-    configuration = spark._jsc.hadoopConfiguration()
     dropped = 0
     while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        dropped += bool(path.getFileSystem(configuration).delete(path, True))
+        dropped += _delete(spark, _WRITTEN.pop())
     return dropped
 
 
