@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import packing, simhash, token_files
-from galewright.llm.frames import fresh_path, table
+from galewright.llm import language_id, line_rules, packing, quality, simhash, token_files
+from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 SEQUENCE = 2048
@@ -23,6 +23,14 @@ def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return build
 
 
+@_query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = remainder(F.col("doc_id"), 3)
+    found = language_id.identify(docs, language_id.fit(docs.where(part != 1)))
+    return found.select("doc_id", (part == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @_query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
@@ -30,6 +38,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(token_files.load(spark, path))
 
 
+@_query
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge_lines(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -41,6 +54,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, SEQUENCE)
 
 
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    part = remainder(F.col("doc_id"), 3)
+    found = quality.rate(docs, quality.fit(docs, labels.where(part != 1)))
+    return found.select("doc_id", (part == 1).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
