@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import language_id, line_rules, packing, quality, simhash, token_files
+from galewright.llm import embedding_dedup, language_id, line_rules, packing, quality, simhash, token_files
 from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(token_files.load(spark, path))
 
 
+@_query
+def op3_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge_lines(table(spark, sf_dir, "documents"))

@@ -18,8 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from galewright.llm.buckets import dealt, pairs_within, whole_buckets
 from galewright.llm.components import components
-from galewright.llm.frames import columns_as, drop_written, map_arrow, materialize, parts
+from galewright.llm.frames import columns_as, drop_written, map_arrow, materialize
 from galewright.llm.textarrays import Texts, lower_ascii, text_slices, words
 
 BITS = 64
@@ -207,13 +208,10 @@ def bucket_links(fp: np.ndarray, first: np.ndarray, radius: int) -> tuple[np.nda
     small = 16
     size = np.diff(first)
     a, b = [], []
-    within = np.flatnonzero(np.repeat(size <= small, size))
-    end = np.repeat(first[1:], size)
-    for step in range(1, small):
-        within = within[within + step < end[within]]
-        close = within[np.bitwise_count(fp[within] ^ fp[within + step]) <= radius]
-        a.append(fp[close])
-        b.append(fp[close + step])
+    for i, j in pairs_within(first, np.flatnonzero(np.repeat(size <= small, size))):
+        close = np.bitwise_count(fp[i] ^ fp[j]) <= radius
+        a.append(fp[i[close]])
+        b.append(fp[j[close]])
     for k in np.flatnonzero(size > small):
         rest = fp[first[k] : first[k + 1]]
         while len(rest):  # breadth first; whatever is reached is never compared again
@@ -227,52 +225,19 @@ def bucket_links(fp: np.ndarray, first: np.ndarray, radius: int) -> tuple[np.nda
                     b.append(np.full(len(new), node))
                     reached.extend(new)
                     rest = rest[~close]
-    return np.concatenate(a), np.concatenate(b)
+    none = np.zeros(0, dtype=np.uint64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
 def _links(keys: DataFrame, radius: int, block: int) -> DataFrame:
-    """Links ``a, b`` between fingerprints of a bucket, each bucket verified in one task.
-
-    A bucket of over ``block`` members is cut into blocks, and each pair of blocks is verified on its
-    own, so no task holds more than two blocks of a bucket and no pair is lost.
-    """
-    names = ["part", "key"]
-    large = materialize(keys.groupBy(*names).agg(F.count("*").alias("n")).where(F.col("n") > block), "buckets")
-    pieces = F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("int")
-    dealt = (
-        keys.join(large, names, "left")
-        .withColumn("pieces", pieces)
-        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .select(*names, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    )
-    names += ["i", "j"]
-    together = dealt.repartition(parts(keys.sparkSession), *names).sortWithinPartitions(*names)
+    """Links ``a, b`` between fingerprints of a bucket; each pair of a bucket's blocks is verified in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            rest = table if rest is None else pa.concat_tables([rest, table])
-            cut = _starts(rest)
-            if len(cut) > 1 and rest.num_rows >= 50_000:
-                yield from verified(rest.slice(0, cut[-1]), cut)
-                rest = rest.slice(cut[-1])
-        if rest is not None and rest.num_rows:
-            yield from verified(rest, np.append(_starts(rest), rest.num_rows))
-
-    def _starts(table: pa.Table) -> np.ndarray:
-        columns = [table.column(c).to_numpy() for c in names]
-        new = np.ones(table.num_rows, dtype=bool)
-        if len(new):
-            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-        return np.flatnonzero(new)
-
-    def verified(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
-        a, b = bucket_links(table.column("fp").to_numpy().view(np.uint64), first, radius)
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-    return map_arrow(together, run, "a long, b long")
+        for table, first in whole_buckets(batches):
+            a, b = bucket_links(table.column("fp").to_numpy().view(np.uint64), first, radius)
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+
+    return map_arrow(dealt(keys, "fp", block), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, block: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
