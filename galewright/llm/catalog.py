@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import embedding_dedup, language_id, line_rules, packing, quality, simhash, token_files
+from galewright.llm import embedding_dedup, language_id, line_rules, ngram_lm, packing, quality, simhash, token_files
 from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, SEQUENCE)
 
 
+@_query
+def op9_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    tuned = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(8)) == 0
+    role = F.when(held_out, ngram_lm.SCORE).when(tuned, ngram_lm.TUNE).otherwise(ngram_lm.FIT)
+    found = ngram_lm.score(docs, role)
+    kept = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), *kept)
+
+
 @_query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
