@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import embedding_dedup, language_id, line_rules, ngram_lm, packing, quality, simhash, token_files
+from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, quality, simhash, token_files
 from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,14 @@ def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+_SQL["op7_license_scan"] = license_scan.scan_sql()
+
+
 @_query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, SEQUENCE)
