@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, quality, simhash, token_files
+from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, piece_codec, quality, simhash, token_files
 from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 SEQUENCE = 2048
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +49,13 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge_lines(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = piece_codec.transcode(table(spark, sf_dir, "documents"), PIECE_BPE)
+    n_ids = (F.length("ids") / 4).cast("long").alias("n_ids")
+    return found.select("doc_id", n_ids, F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
+
+
 @_query
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))

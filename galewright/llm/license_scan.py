@@ -37,7 +37,7 @@ TEMPLATES = (
 )
 
 
-_ALL = 2_147_483_647
+_ALL = 2_000_000_000  # more words than an array holds
 
 
 def _words(text: Column) -> Column:
