@@ -272,6 +272,8 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     found = near_duplicates(docs, width, radius)
     heads = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("copies"))
     heads = materialize(heads, "kept")
-    once = docs.join(heads.where("copies = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(heads.where("copies > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # The heads grow with the documents: both sides are shuffled, at every size alike, and only once.
+    once, more = (heads.where(w).select("doc_id").hint("merge") for w in ("copies = 1", "copies > 1"))
+    repeated = docs.join(more, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    once = docs.join(once, "doc_id", "left_semi")
     return once.unionByName(repeated).unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
