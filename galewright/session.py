@@ -35,15 +35,17 @@ _LOCAL_SCRATCH: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read: the context's checkpoint folder, else ``spark.checkpoint.dir``.
+    """The folder every executor can read: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
     A temporary folder is used only where neither is set and all tasks run on this machine; on a
     cluster without a shared folder this raises.
     """
-    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not is_local(spark.sparkContext.master):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/") if named else _own_dir(spark.sparkContext.master)
+
+
+def _own_dir(master: str) -> str:
+    if not is_local(master):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     global _LOCAL_SCRATCH
     if _LOCAL_SCRATCH is None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from galewright import session
@@ -79,6 +81,15 @@ def test_no_query_uses_row_at_a_time_python(spark, tiny, plan_of):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
+def test_no_shared_folder_on_a_cluster_raises():
+
+    assert session.is_local("local[8]") and session.is_local("local") and not session.is_local("local-cluster[2,1,1024]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session._own_dir(master)
+    assert session._own_dir("local[2]") == session._own_dir("local")
+
+
 def test_shared_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
