@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +55,19 @@ _JOBS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]
     with_sql(CONTACTS) + "SELECT contact_key, " + ", ".join(f"CASE WHEN job = '{j}' THEN 1 ELSE 0 END AS \"job_{j}\"" for j in _JOBS) + " FROM contacts",
 )
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """Fitted without the HOUSEHOLD segment, which is then unknown and encoded as all zeros."""
+    """Without the HOUSEHOLD segment, which is then unknown and encoded as all zeros."""
+    return prepare.one_hot(contacts(spark, sf).select("contact_key", "job"), "job", _JOBS).drop("job")
+
+
+@query(
+    "index_category",
+    with_sql(CONTACTS, "f AS (SELECT job, row_number() OVER (ORDER BY job) - 1 AS job_index FROM contacts WHERE job <> 'HOUSEHOLD' GROUP BY job)")
+    + "SELECT contact_key, CAST(job_index AS BIGINT) AS job_index FROM contacts LEFT JOIN f USING (job)",
+)
+def index_category(spark: SparkSession, sf: str) -> DataFrame:
     rows = contacts(spark, sf).select("contact_key", "job")
     fitted = prepare.fit_categories(rows.filter(F.col("job") != "HOUSEHOLD"), "job")
-    return prepare.one_hot(rows, "job", fitted).drop("job")
+    return prepare.index_category(rows, "job", fitted).drop("job")
 
 
 _GAPS = "gaps AS (SELECT contact_key, NULLIF(pdays, -1) AS pdays, CASE WHEN balance >= 0 THEN balance END AS balance, NULLIF(job, 'BUILDING') AS job FROM contacts)"
@@ -158,13 +168,12 @@ def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("train_forest")
 def train_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_and_measure(spark, sf, lambda train: training.forest("label", trees=20, depth=6))
+    return _fit_and_measure(spark, sf, lambda train: training.forest("label"))
 
 
 def _tuned(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], training.TuningResult]:
     p = parts(spark, sf)
-    trials = training.draw_trials(4, seed=42, forest_ranges={"depth": (3, 6, False), "trees": (5, 10, False), "leaf": (1, 10, False)})
-    return p, training.tune(p["train"], p["validation"], "label", _CATEGORICAL, _NUMERIC, trials)
+    return p, training.tune(p["train"], p["validation"], "label", _CATEGORICAL, _NUMERIC, training.draw_trials(20, seed=42))
 
 
 @query("tune_model")
@@ -179,15 +188,18 @@ def refit_best(spark: SparkSession, sf: str) -> DataFrame:
     return training.refit_best(result.best, train, p["test"], "label", _CATEGORICAL, _NUMERIC)[1]
 
 
+def _forest(spark: SparkSession, sf: str) -> tuple[PipelineModel, DataFrame]:
+    """A forest fitted on the training part, and the scored test part."""
+    p = parts(spark, sf)
+    model = training.fit_model(p["train"].unionByName(p["validation"]), "label", _CATEGORICAL, _NUMERIC, training.forest("label"))
+    return model, training.apply_model(model, p["test"], _NUMERIC)
+
+
 @query("top_importances")
 def top_importances(spark: SparkSession, sf: str) -> DataFrame:
-    rows = with_signal(spark, sf)
-    model = training.fit_model(rows, "label", _CATEGORICAL, _NUMERIC, training.forest("label", trees=10, depth=5))
-    return training.top_importances(model, training.apply_model(model, rows, _NUMERIC), 15)
+    return training.top_importances(*_forest(spark, sf), 15)
 
 
 @query("batch_score_forest")
 def batch_score_forest(spark: SparkSession, sf: str) -> DataFrame:
-    rows = with_signal(spark, sf)
-    model = training.fit_model(rows, "label", _CATEGORICAL, _NUMERIC, training.forest("label", trees=10, depth=5))
-    return training.apply_model(model, rows, _NUMERIC).select("contact_key", "label", "prediction", "score")
+    return _forest(spark, sf)[1].select("contact_key", "label", "prediction", "score")
