@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,9 @@ def means_by(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataF
 
 
 def class_shares(df: DataFrame, column: str) -> DataFrame:
-    """Count and share per value. The shares are taken over the counts, one row per value."""
-    counts = count_by(df, column)
-    return counts.withColumn("share", F.col("row_count") / F.sum("row_count").over(Window.partitionBy()))
+    """Count and share per value. The total is a scalar subquery, so no task gathers all values."""
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return count_by(df, column).withColumn("share", F.col("row_count") / total)
 
 
 def non_null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewright.functions.numeric import ratio
+from galewright.operators.keys import global_row_number
 from galewright.operators.metrics import metric_rows
 from galewright.operators.profile import windowed
-from galewright.operators.project import slice_rows
+from galewright.operators.project import null_as_text, slice_rows
 from galewright.session import materialize, ship_package
 
 DRIFT_METRICS = ("js_distance", "tv_distance", "l_infinity", "chi_squared", "chi_squared_pvalue")
@@ -26,7 +27,7 @@ DRIFT_METRICS = ("js_distance", "tv_distance", "l_infinity", "chi_squared", "chi
 def category_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), name: str = "n") -> DataFrame:
     """(by…, column_name, category, n). NULL counts as a category of its own."""
     cells = [
-        F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("category"))
+        F.struct(F.lit(c).alias("column_name"), null_as_text(F.col(c)).alias("category"))
         for c in columns
     ]
     exploded = df.select(*by, F.explode(F.array(*cells)).alias("_cell"))
@@ -168,12 +169,20 @@ def drift_metrics(
     return metric_rows(wide, [*groups, "column_name", "baseline_rows", "current_rows"], DRIFT_METRICS)
 
 
-def quantile_bands(df: DataFrame, baseline: DataFrame, column: str, parts: int = 10, accuracy: int = 10_000) -> DataFrame:
-    """Replace a numeric column by its band between baseline quantiles, so that drift applies to it.
+def quantile_edges(baseline: DataFrame, column: str, parts: int = 10) -> list:
+    """The ``parts - 1`` inner quantiles of a column, exact: the values whose ranks are the shares of the
+    number of values, rounded up. Ranks come from a range-partitioned row number."""
+    values = baseline.select(column).where(F.col(column).isNotNull())
+    ranked = global_row_number(values, [column], "_rank")
+    total = ranked.count()
+    if not total:
+        return []
+    wanted = [-(-total * i // parts) for i in range(1, parts)]
+    found = {r["_rank"]: r[column] for r in ranked.filter(F.col("_rank").isin(wanted)).collect()}
+    return [found[rank] for rank in wanted]
 
-    The edges are one small array from a fixed-size sketch, passed as a scalar subquery.
-    """
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    edges = baseline.agg(F.percentile_approx(column, shares, F.lit(accuracy)).alias("e")).scalar()
-    band = F.size(F.filter("_edges", lambda e: e < F.col(column)))
-    return df.withColumn("_edges", edges).withColumn(column, F.when(F.col(column).isNotNull(), band)).drop("_edges")
+
+def quantile_bands(df: DataFrame, column: str, edges: Sequence) -> DataFrame:
+    """Replace a numeric column by its band between the edges, so that drift applies to it."""
+    band = sum((F.when(F.col(column) > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
+    return df.withColumn(column, F.when(F.col(column).isNotNull(), band))

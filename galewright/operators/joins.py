@@ -87,12 +87,12 @@ def feature_lookup(
 ) -> DataFrame:
     """Training rows: every label row with the features of its key, NULL where the key has none.
 
-    The feature frame is unique on ``key``. ``hot_share`` names the share of label rows from which a
+    The feature frame must be unique on ``key``; a repeated key fails the job. ``hot_share`` names the share of label rows from which a
     key counts as hot: label rows of hot keys, and those without a key, are then never shuffled but
     meet a broadcast of at most ``1 / hot_share`` feature rows. Without it, Spark broadcasts the
     features when they are small and else splits skewed partitions at run time.
     """
-    wanted = features.select(key, *names)
+    wanted = require_unique(features.select(key, *names), [key], "features")
     joined = labels.join(wanted, key, "left") if hot_share is None else _lookup_hot_apart(labels, wanted, key, hot_share)
     return joined.drop(*exclude)
 
@@ -133,19 +133,30 @@ def _lookup_hot_apart(labels: DataFrame, features: DataFrame, key: str, share: f
     hot = hot_values(labels, key, share)
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     unknown = F.col(key).isNull()
-    hot_features = require_unique(features.filter(is_hot), [key], "features")
+    hot_features = features.filter(is_hot)  # at most 1 / share rows
     apart = labels.filter(unknown | is_hot).join(F.broadcast(hot_features), key, "left")
     rest = labels.filter(~unknown & ~is_hot).join(features, key, "left")
     return apart.unionByName(rest)
 
 
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, failing at run time when a key column is NULL."""
+    missing = F.lit(False)
+    for k in keys:
+        missing |= F.col(k).isNull()
+    message = F.lit(f"NULL in the key {', '.join(keys)}")
+    return df.filter(F.when(~missing, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row-level changes between two versions of a keyed table.
 
     Emits ``insert``, ``delete``, ``update_preimage`` and ``update_postimage`` rows. One full outer
-    join on the unique key; unchanged rows are dropped before they are emitted.
+    join on the unique key; unchanged rows are dropped before they are emitted. A NULL in the key fails
+    the job, as such rows can't be told apart.
     """
     keys = list(keys)
+    before, after = (_keyed(df, keys) for df in (before, after))
     columns = before.columns
     if set(columns) != set(after.columns):
         raise ValueError("both versions need the same columns")

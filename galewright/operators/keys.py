@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galewright.functions.hashing import digest
-from galewright.operators.joins import hot_values
 from galewright.session import materialize
 
 # monotonically_increasing_id keeps the partition above bit 33 and the position in it below.
@@ -45,36 +44,26 @@ def global_row_number(
 
 
 def row_number_by_digest(
-    df: DataFrame,
-    group: str,
-    key: str,
-    name: str = "rank_in_group",
-    salt: str | int = "rank",
-    hot_share: float = 1 / 1000,
-    digits: int = 3,
+    df: DataFrame, group: str, key: str, name: str = "rank_in_group", salt: str | int = "rank", partitions: int | None = None
 ) -> DataFrame:
-    """row_number per group, ordered by the digest of ``key`` (then by ``key``), hot groups split.
+    """row_number per group, ordered by the digest of ``key`` (then by ``key``), whatever a group's size.
 
-    A group with more than ``hot_share`` of all rows is cut into runs of digests that share their
-    first ``digits`` hex digits, each numbered by itself; the sizes of the earlier runs are added. The
-    sizes join on the columns the window has partitioned by, so the rows are shuffled once. The other
-    groups are numbered by a plain window. Both give the numbers the plain window would give.
+    Range-partition on (group, digest, key), sort inside the partitions and write each row's place
+    once. A row's number is its position among its group's rows in the partition plus the group's rows
+    in earlier partitions: a table of one row per group and partition. A group that fills many
+    partitions is cut between them like any other run of rows.
     """
-    hot = hot_values(df, group, hot_share)
-    is_hot = F.col(group).isin(hot) if hot else F.lit(False)
-    tagged = df.withColumn("_digest", digest(key, salt=salt)).withColumn(
-        "_run", F.when(is_hot, F.substring("_digest", 1, digits)).otherwise(F.lit(""))
-    )
-    local = Window.partitionBy(group, "_run").orderBy("_digest", key)
-    numbered = tagged.withColumn("_local", F.row_number().over(local))
-    if not hot:
-        return numbered.select(*df.columns, F.col("_local").cast("bigint").alias(name))
-    sizes = tagged.filter(is_hot).groupBy(group, "_run").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, "_run", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    shifted = numbered.join(offsets, [group, "_run"], "left")
-    position = F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))
-    return shifted.select(*df.columns, position.cast("bigint").alias(name))
+    order = [F.col(group), F.col("_digest"), F.col(key)]
+    marked = df.withColumn("_digest", digest(key, salt=salt))
+    ranged = marked.repartitionByRange(partitions, *order) if partitions else marked.repartitionByRange(*order)
+    placed = ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()).drop("_digest")
+    stored = materialize(placed, "rank").withColumn("_part", F.shiftrightunsigned("_place", _POSITION_BITS))
+    runs = stored.groupBy(group, "_part").agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    offsets = runs.select(F.col(group).alias("_group"), F.col("_part").alias("_of"), (before - F.col("_start") + 1).alias("_shift"))
+    same = stored[group].eqNullSafe(offsets["_group"]) & (stored["_part"] == offsets["_of"])
+    return stored.join(offsets, same).select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(name))
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -83,14 +72,10 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *texts))
 
 
-def stable_key(
-    df: DataFrame, columns: Sequence[str], natural_key: str, name: str = "stable_key", hot_share: float = 1 / 1000
-) -> DataFrame:
-    """A key that depends on the row's own values only, with a number for rows that share them.
+def stable_key(df: DataFrame, columns: Sequence[str], natural_key: str, name: str = "stable_key") -> DataFrame:
+    """A key that depends on the row's own values only: md5 over the columns and the natural key.
 
-    No global sort. Rows with equal values are numbered in the digest order of ``natural_key``, and
-    a group of copies of any size is split over many tasks.
+    One projection. Rows that agree in all of these share the key; nothing else that is in the table, or
+    is added later, changes it.
     """
-    hashed = df.withColumn("_row_hash", row_hash(columns))
-    tied = row_number_by_digest(hashed, "_row_hash", natural_key, "_tie", salt="tie", hot_share=hot_share)
-    return tied.select(F.concat_ws("-", F.col("_row_hash"), F.col("_tie").cast("string")).alias(name), *df.columns)
+    return df.select(row_hash([*columns, natural_key]).alias(name), *df.columns)

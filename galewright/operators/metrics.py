@@ -20,16 +20,26 @@ def labelled(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
 
 
+def _of_classes(df: DataFrame, label: str, prediction: str, classes: Sequence) -> DataFrame:
+    """Labelled rows; one of another class fails the job instead of dropping out of the counts."""
+    odd = F.concat(F.lit("class outside the list: "), F.col(label).cast("string"), F.lit(", "), F.col(prediction).cast("string"))
+    listed = F.col(label).isin(*classes) & F.col(prediction).isin(*classes)
+    return labelled(df, label, prediction).filter(F.when(listed, F.lit(True)).otherwise(F.raise_error(odd).cast("boolean")))
+
+
 def confusion_matrix(
     df: DataFrame, label: str, prediction: str, classes: Sequence = (0, 1), by: Sequence[str] = ()
 ) -> DataFrame:
-    """(label, prediction, row_count) for every pair of classes, zero cells included, in one pass."""
+    """(label, prediction, row_count) for every pair of classes, zero cells included, in one pass.
+
+    A row of a class that isn't listed fails the job.
+    """
     pairs = [(a, b) for a in classes for b in classes]
     counts = [
         F.count_if((F.col(label) == F.lit(a)) & (F.col(prediction) == F.lit(b))).alias(f"_c{i}")
         for i, (a, b) in enumerate(pairs)
     ]
-    one_row = labelled(df, label, prediction).groupBy(*by).agg(*counts)
+    one_row = _of_classes(df, label, prediction, classes).groupBy(*by).agg(*counts)
     cells = F.array(
         *[
             F.struct(F.lit(a).alias(label), F.lit(b).alias(prediction), F.col(f"_c{i}").alias("row_count"))
@@ -56,8 +66,9 @@ def quality_columns(label: str, prediction: str) -> dict[str, Column]:
 
 
 def binary_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, precision, recall and F1 of a 0/1 label; a row of another class fails the job."""
     metrics = [c.alias(n) for n, c in quality_columns(label, prediction).items()]
-    return labelled(df, label, prediction).groupBy(*by).agg(*metrics)
+    return _of_classes(df, label, prediction, (0, 1)).groupBy(*by).agg(*metrics)
 
 
 def classification_report(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
@@ -121,18 +132,20 @@ def _class_averages(report: DataFrame, by: Sequence[str], positive: object = Non
     return report.groupBy(*by).agg(*found)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), runs: int = 256) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), runs: int | None = None) -> DataFrame:
     """Exact area under the ROC curve per group; NULL where only one class occurs.
 
     Rows reduce to counts per distinct score. The scores are cut into consecutive runs at
     approximate quantiles; each run accumulates on its own and then only needs the number of
-    negatives in the runs below it. Where the cuts fall changes the balance, never the result.
+    negatives in the runs below it. Where the cuts fall changes the balance, never the result. There
+    are four runs for each shuffle partition unless ``runs`` says otherwise.
     """
+    runs = runs or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     y = F.col(label).cast("int")
     known = labelled(df, label, score)
     per_score = known.groupBy(*by, score).agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
     shares = F.array(*[F.lit(i / runs) for i in range(1, runs)])
-    edges = known.agg(F.percentile_approx(score, shares, F.lit(10_000)).alias("e")).scalar()
+    edges = known.agg(F.percentile_approx(score, shares, F.lit(max(10_000, 10 * runs))).alias("e")).scalar()
     cut = per_score.withColumn("_edges", edges).withColumn("_run", F.size(F.filter("_edges", lambda e: e < F.col(score))))
 
     inside = Window.partitionBy(*by, "_run").orderBy(score).rowsBetween(Window.unboundedPreceding, 0)

@@ -6,11 +6,13 @@ it to the main pass as a literal, so that transforming the rows needs no join an
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galewright.operators.keys import global_row_number
+
 
 def one_hot(
     df: DataFrame, column: str, categories: Sequence[str], unknown: str = "ignore", prefix: str | None = None
@@ -26,12 +28,18 @@ def one_hot(
     return df.withColumns({f"{name}_{c}": F.when(value == F.lit(c), F.lit(1)).otherwise(F.lit(0)) for c in categories})
 
 
-def fit_categories(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """The distinct values of a category, sorted. A column with more than ``limit`` values is no category."""
-    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values; index it instead of one-hot encoding it")
-    return sorted(found)
+def fit_categories(df: DataFrame, column: str) -> DataFrame:
+    """``(category, index)``: the distinct values of a category in order, numbered from 0."""
+    distinct = df.select(F.col(column).alias("category")).where(F.col(column).isNotNull()).distinct()
+    numbered = global_row_number(distinct, ["category"], "index")
+    return numbered.withColumn("index", F.col("index") - 1)
+
+
+def index_category(df: DataFrame, column: str, fitted: DataFrame, name: str | None = None) -> DataFrame:
+    """Add the index of the fitted category, NULL for unknown values: the one position of a sparse
+    one-hot vector that is 1. Takes any number of categories."""
+    known = fitted.select(F.col("category").alias(column), F.col("index").alias(name or f"{column}_index"))
+    return df.join(known, column, "left").select(*df.columns, name or f"{column}_index")
 
 
 def most_frequent(column: str, counts: str = "_n") -> Column:
@@ -46,9 +54,12 @@ def impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], fi
     if numeric:
         means = base.agg(F.struct(*[F.avg(c).alias(c) for c in numeric]).alias("s")).scalar()
         filled |= {c: F.coalesce(F.col(c).cast("double"), means.getField(c)) for c in numeric}
-    for c in categorical:
-        counts = base.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        filled[c] = F.coalesce(F.col(c), counts.agg(most_frequent(c).alias("v")).scalar())
+    if categorical:
+        cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in categorical])
+        counts = base.select(F.inline(cells)).where("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("_n"))
+        modes = counts.groupBy("c").agg(most_frequent("v").alias("v"))  # a row for each column given
+        found = modes.agg(F.map_from_entries(F.collect_list(F.struct("c", "v"))).alias("m")).scalar()
+        filled |= {c: F.coalesce(F.col(c), F.try_element_at(found, F.lit(c)).cast(base.schema[c].dataType)) for c in categorical}
     return df.withColumns(filled)
 
 
@@ -74,12 +85,6 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "class_weight") -> DataFrame:
-    """Attach the balanced weight to every row. One entry per class, used as a literal map."""
-    entry = F.struct(F.col(label).cast("string").alias("k"), F.col("class_weight").alias("v"))
-    weights = class_weights(df, label).agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
-    return df.withColumn(name, F.try_element_at(weights, F.col(label).cast("string")))
-
-
-def linear_scale(values: Mapping[str, tuple[float, float]]) -> dict[str, Column]:
-    """(x − centre) / spread for given constants, for models fitted elsewhere."""
-    return {c: (F.col(c) - F.lit(m)) / F.lit(s if s else 1.0) for c, (m, s) in values.items()}
+    """Attach the balanced weight to every row, by a join with one row per class."""
+    weights = class_weights(df, label).select(label, F.col("class_weight").alias(name))
+    return df.join(weights, label, "left").select(*df.columns, name)

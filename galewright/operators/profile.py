@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from galewright.functions.templates import CustomMetric
 from galewright.operators.aggregates import to_rows
 from galewright.operators.metrics import quality_columns
-from galewright.operators.project import Slice, slice_rows
+from galewright.operators.project import slice_rows
 
 OVERALL = ":all"
 WHOLE_ROW = ":table"
@@ -23,28 +23,13 @@ def windowed(df: DataFrame, timestamp: str, granularity: str = "1 day") -> DataF
     return df.withColumn("_w", w).select(*df.columns, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"))
 
 
-def sliced_agg(
-    df: DataFrame, keys: Sequence[str], slices: Sequence[str], aggregates: Sequence[Column], explode_from: int = 10
-) -> DataFrame:
+def sliced_agg(df: DataFrame, keys: Sequence[str], slices: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
     """Aggregate overall and one slice at a time, never over combinations of slices.
 
-    Few slices use GROUPING SETS. From ``explode_from`` slices on, each row is repeated as
-    (slice_key, slice_value) pairs instead: that keeps the rows narrow, whatever the slice count.
-    Either way the aggregation starts before the shuffle.
+    Each row is repeated as (slice_key, slice_value) pairs, which keeps it narrow whatever the slice
+    count; the aggregation starts before the shuffle.
     """
-    if len(slices) >= explode_from:
-        return slice_rows(df, slices, OVERALL).groupBy(*keys, "slice_key", "slice_value").agg(*aggregates)
-    names = {s: f"_slice{i}" for i, s in enumerate(slices)}
-    sliced = df.withColumns({n: Slice(s).value() for s, n in names.items()}) if names else df
-    sets = [list(keys)] + [[*keys, n] for n in names.values()]
-    key = F.lit(OVERALL)
-    value = F.lit(OVERALL)
-    for s, n in names.items():
-        in_set = F.grouping(n) == 0
-        key = F.when(in_set, F.lit(s)).otherwise(key)
-        value = F.when(in_set, F.col(n)).otherwise(value)
-    grouped = sliced.groupingSets(sets, *keys, *names.values())
-    return grouped.agg(key.alias("slice_key"), value.alias("slice_value"), *aggregates).drop(*names.values())
+    return slice_rows(df, slices, OVERALL).groupBy(*keys, "slice_key", "slice_value").agg(*aggregates)
 
 
 def profile_metrics(

@@ -94,8 +94,14 @@ class Slice:
     key: str
 
     def value(self) -> Column:
-        c = F.expr(self.key)
-        return F.coalesce(c.cast("string"), F.lit("null"))
+        return null_as_text(F.expr(self.key))
+
+
+def null_as_text(value: Column) -> Column:
+    """The value as text, ``null`` for NULL. A text ``null`` becomes ``\\null``, and one that already has
+    backslashes before it gets one more, so that no two values share a text."""
+    text = value.cast("string")
+    return F.when(text.isNull(), F.lit("null")).when(text.rlike(r"^\\*null$"), F.concat(F.lit("\\"), text)).otherwise(text)
 
 
 def slice_rows(df: DataFrame, slices: Sequence[str], overall: str = ":all") -> DataFrame:

@@ -101,11 +101,19 @@ def quality_gate(
 ) -> DataFrame:
     """Add ``minimum_quality_passed``, ``required_f1``, ``beats_champion`` and ``evaluation_passed`` (0/1).
 
-    Without a champion the second test passes. A missing candidate metric passes neither.
+    Without a champion the second test passes. There is none where ``champion_version`` is NULL, or,
+    in a table without that column, where the champion's metric is. A missing candidate metric passes
+    neither test. A champion version without its metric fails the job: nothing can be said about it.
     """
-    required = F.col(champion) * F.lit(1 + threshold)
+    versioned = "champion_version" in candidates.columns
+    known = F.col(champion)
+    if versioned:
+        lost = F.concat(F.lit("no metric for champion version "), F.col("champion_version").cast("string"))
+        known = F.when(F.col("champion_version").isNotNull() & known.isNull(), F.raise_error(lost).cast("double")).otherwise(known)
+    required = known * F.lit(1 + threshold)
     good = F.col(candidate) >= F.lit(minimum)
-    better = F.when(F.col(champion).isNull(), F.col(candidate).isNotNull()).otherwise(F.col(candidate) > required)
+    none = F.col("champion_version").isNull() if versioned else F.col(champion).isNull()
+    better = F.when(none, F.col(candidate).isNotNull()).otherwise(F.col(candidate) > required)
 
     def as_flag(c: Column) -> Column:
         return F.coalesce(c, F.lit(False)).cast("int")

@@ -21,10 +21,6 @@ def hash_split(df: DataFrame, key: str, test_share: float, salt: str | int = 42,
     return df.withColumn(name, F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 
-# Up to this many classes, what is known per class travels as a literal map; beyond it, as a join.
-_LITERAL_CLASSES = 1_000
-
-
 def stratified_split(
     df: DataFrame,
     key: str,
@@ -36,10 +32,10 @@ def stratified_split(
 ) -> DataFrame:
     """Exact split: per class, the ``ceil(percent · n)`` rows with the smallest digests are test.
 
-    Ranking a class would send a whole class to one task. Instead a histogram over digest prefixes
-    finds the prefix that holds each class's last test row, and only that prefix, one row in 65,536,
-    is ranked. The cuts, one per class, are fixed when the function returns; the split itself is a
-    narrow projection of the input. ``key`` must be unique.
+    Ranking a class would send a whole class to one task. Instead histograms over digest prefixes,
+    four hex digits and then four more, find the prefix that holds each class's last test row, and only
+    that prefix, one row in 2³², is ranked. The cuts are a table of one row per class that joins the
+    rows; Spark broadcasts it where it is small. ``key`` must be unique.
     """
     marked = df.withColumn("_digest", digest(key, salt=salt))
     in_part = _below_cut(marked, label, "_digest", test_percent)
@@ -66,37 +62,29 @@ def nested_split(
 
 def _below_cut(df: DataFrame, label: str, digest_col: str, percent: int) -> DataFrame:
     """Add ``_below``: among its class's rows with a digest, is this one of the first ``percent``?"""
-    slim = df.filter(F.col(digest_col).isNotNull()).select(
-        _class_text(label).alias("_class"), F.col(digest_col).alias("_d"), F.substring(digest_col, 1, 4).alias("_prefix")
-    )
-    counts = slim.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    by_class = Window.partitionBy("_class")
-    upto = F.sum("_n").over(by_class.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0))
-    wanted = F.expr(f"(_total * {int(percent)} + 99) div 100")
-    running = counts.withColumns({"_total": F.sum("_n").over(by_class), "_upto": upto}).withColumn("_want", wanted)
-    before = F.col("_upto") - F.col("_n")
-    boundary = running.filter((F.col("_upto") >= F.col("_want")) & (before < F.col("_want"))).select(
-        "_class", F.col("_prefix").alias("_at"), (F.col("_want") - before).alias("_rest")
-    )
-    near = _with_class_values(slim, "_class", boundary, ["_at", "_rest"]).filter(F.col("_prefix") == F.col("_at"))
+    near = df.filter(F.col(digest_col).isNotNull()).select(_class_text(label).alias("_class"), F.col(digest_col).alias("_d"))
+    want = near.groupBy("_class").agg(F.count(F.lit(1)).alias("_total"))
+    want = want.select("_class", F.expr(f"(_total * {int(percent)} + 99) div 100").alias("_want"))
+    for digits in (4, 8):
+        near, want = _narrowed(near.withColumn("_prefix", F.substring("_d", 1, digits)), want)
     rank = F.row_number().over(Window.partitionBy("_class").orderBy("_d"))
-    cuts = near.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_rest")).select("_class", F.col("_d").alias("_cut"))
-    known = _with_class_values(df.withColumn("_class", _class_text(label)), "_class", cuts, ["_cut"])
-    return known.withColumn("_below", F.coalesce(F.col(digest_col) <= F.col("_cut"), F.lit(False))).drop("_class", "_cut")
+    ranked = near.withColumn("_rank", rank).join(want, "_class")
+    cuts = ranked.filter(F.col("_rank") == F.col("_want")).select("_class", F.col("_d").alias("_cut"))
+    known = df.withColumn("_class", _class_text(label)).join(cuts, "_class", "left")
+    below = F.coalesce(F.col(digest_col) <= F.col("_cut"), F.lit(False))
+    return known.withColumn("_below", below).select(*df.columns, "_below")
+
+
+def _narrowed(rows: DataFrame, want: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of the prefix that holds each class's ``_want``-th row, and its rank among them."""
+    counts = rows.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy("_class").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("_upto", F.sum("_n").over(order)).join(want, "_class")
+    before = F.col("_upto") - F.col("_n")
+    edge = running.filter((F.col("_upto") >= F.col("_want")) & (before < F.col("_want")))
+    edge = edge.select("_class", "_prefix", (F.col("_want") - before).alias("_want"))
+    return rows.join(edge.select("_class", "_prefix"), ["_class", "_prefix"]).drop("_prefix"), edge.select("_class", "_want")
 
 
 def _class_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("\\N"))
-
-
-def _with_class_values(df: DataFrame, by: str, values: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Attach per-class values. A classifier has few classes: they become a literal map, checked for
-    size; a larger table is joined instead."""
-    rows = values.select(by, *columns).limit(_LITERAL_CLASSES + 1).collect()
-    if len(rows) > _LITERAL_CLASSES:
-        return df.join(values.select(by, *columns), by, "left")
-    if not rows:
-        return df.withColumns({c: F.lit(None).cast(values.schema[c].dataType) for c in columns})
-    types = {c: values.schema[c].dataType for c in columns}
-    lookup = {c: F.create_map(*[x for r in rows for x in (F.lit(r[by]), F.lit(r[c]).cast(types[c]))]) for c in columns}
-    return df.withColumns({c: F.try_element_at(lookup[c], F.col(by)) for c in columns})

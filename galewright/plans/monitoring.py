@@ -78,7 +78,7 @@ def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
     + "SELECT model_version, slice_key, slice_value, count(*) AS row_count, ROUND(avg(balance), 6) AS avg_balance FROM sliced GROUP BY ALL",
 )
 def slice_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
-    return _slices(spark, sf, explode_from=10)
+    return _slices(spark, sf)
 
 
 @query(
@@ -87,12 +87,12 @@ def slice_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
     + "SELECT model_version, slice_key, slice_value, count(*) AS row_count, ROUND(avg(balance), 6) AS avg_balance FROM sliced GROUP BY ALL",
 )
 def slice_exploded(spark: SparkSession, sf: str) -> DataFrame:
-    return _slices(spark, sf, explode_from=1)
+    return _slices(spark, sf)
 
 
-def _slices(spark: SparkSession, sf: str, explode_from: int) -> DataFrame:
+def _slices(spark: SparkSession, sf: str) -> DataFrame:
     aggregates = [F.count(F.lit(1)).alias("row_count"), F.avg("balance").alias("avg_balance")]
-    grouped = profile.sliced_agg(scored_events(spark, sf), [MODEL], _SLICES, aggregates, explode_from)
+    grouped = profile.sliced_agg(scored_events(spark, sf), [MODEL], _SLICES, aggregates)
     return rounded(grouped, "avg_balance")
 
 
@@ -246,6 +246,7 @@ _NUMERIC = """base AS (SELECT c_acctbal AS x FROM customer), now AS (SELECT s_ac
 def drift_numeric(spark: SparkSession, sf: str) -> DataFrame:
     base = table(spark, sf, "customer").select(F.col("c_acctbal").alias("acctbal"))
     now = table(spark, sf, "supplier").select(F.col("s_acctbal").alias("acctbal"))
-    banded = [drift.quantile_bands(side, base, "acctbal", accuracy=1_000_000) for side in (base, now)]
+    edges = drift.quantile_edges(base, "acctbal")
+    banded = [drift.quantile_bands(side, "acctbal", edges) for side in (base, now)]
     wide = drift.drift(*banded, ["acctbal"]).select("column_name", "js_distance", "tv_distance", "l_infinity", "chi_squared")
     return rounded(wide, "js_distance", "tv_distance", "l_infinity", "chi_squared")

@@ -109,14 +109,13 @@ def positional_row_number(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _KEY_COLUMNS = ["job", "housing", "loan", "y", "previous"]
-_ROW_HASH = f"md5(concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in _KEY_COLUMNS)}))"
+_ROW_HASH = f"md5(concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in [*_KEY_COLUMNS, 'contact_key'])}))"
 
 
 @query(
     "stable_key",
     with_sql(CONTACTS)
-    + f"""SELECT concat(h, '-', CAST(row_number() OVER (PARTITION BY h ORDER BY {digest_sql('contact_key', 'tie')}, contact_key) AS VARCHAR))
-      AS stable_key, contact_key, job FROM (SELECT *, {_ROW_HASH} AS h FROM contacts)""",
+    + f"SELECT {_ROW_HASH} AS stable_key, contact_key, job FROM contacts",
 )
 def stable_key(spark: SparkSession, sf: str) -> DataFrame:
     keyed = keys.stable_key(contacts(spark, sf), _KEY_COLUMNS, "contact_key")

@@ -14,9 +14,14 @@ def read_delimited(
     schema: T.StructType | str | None = None,
     separator: str = ";",
     header: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Delimited text. Give a schema: without one Spark reads the whole input twice to infer types."""
-    reader = spark.read.option("sep", separator).option("header", header)
+    """Delimited text. Give a schema: without one Spark reads the whole input twice to infer types.
+
+    A row that doesn't fit fails the job; ``mode="PERMISSIVE"`` with a ``_corrupt_record`` column in the
+    schema keeps it there instead.
+    """
+    reader = spark.read.option("sep", separator).option("header", header).option("mode", mode)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 

@@ -21,7 +21,7 @@ from galewright.sources.sinks import require_schema
 VERSION = "snapshot_version"
 _LOG_SCHEMA = (
     f"{VERSION} INT, operation STRING, source_batch STRING, folder STRING, committed_at TIMESTAMP, "
-    "primary_keys ARRAY<STRING>, description STRING"
+    "primary_keys ARRAY<STRING>, description STRING, row_count BIGINT"
 )
 
 
@@ -89,6 +89,7 @@ class SnapshotTable:
             F.current_timestamp().alias("committed_at"),
             F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("primary_keys"),
             F.lit(description).alias("description"),
+            F.lit(self.spark.read.parquet(f"{self.path}/{folder}").count()).cast("bigint").alias("row_count"),  # from the footers
         )
         entry.write.mode("append").json(f"{self.path}/log")
         return version
@@ -121,10 +122,5 @@ class SnapshotTable:
         return self.log().agg(newest.alias("v")).select("v.*")
 
     def history(self) -> DataFrame:
-        """(snapshot_version, operation, row_count) of every committed version."""
-        counts = self.all_versions().groupBy(VERSION).agg(F.count(F.lit(1)).alias("row_count"))
-        return (
-            self.log()
-            .join(counts, VERSION, "left")
-            .select(VERSION, "operation", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
-        )
+        """(snapshot_version, operation, row_count) of every committed version, from the log alone."""
+        return self.log().select(VERSION, "operation", "row_count")

@@ -71,6 +71,20 @@ def test_change_feed_replays_to_the_new_version(target, source):
     assert rows(target.join(gone, "k", "left_anti").unionByName(added)) == rows(after)
 
 
+def test_change_feed_refuses_a_null_key(spark, target):
+    odd = target.unionByName(spark.createDataFrame([(None, "n", 0)], SCHEMA))
+    with pytest.raises(PySparkException, match="NULL in the key"):
+        joins.change_feed(odd, odd, ["k"]).collect()
+
+
+@pytest.mark.parametrize("share", [None, 0.1])
+def test_repeated_feature_key_fails_the_lookup(spark, share):
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "k INT, y INT")
+    twice = spark.createDataFrame([(1, 0.5), (1, 0.6), (2, 0.7)], "k INT, f DOUBLE")
+    with pytest.raises(PySparkException, match="duplicate key"):
+        joins.feature_lookup(labels, twice, "k", ["f"], hot_share=share).collect()
+
+
 def test_change_feed_of_equal_versions_is_empty(target):
     assert joins.change_feed(target, target, ["k"]).isEmpty()
 
@@ -125,11 +139,32 @@ def test_uncommitted_version_is_not_visible(spark, target):
     table = SnapshotTable(spark, fresh_path(spark, "t"))
     table.overwrite(target)
     target.write.parquet(f"{table.path}/data/snapshot_version=1")  # a write that never reached the log
-    assert table.latest() == 0 and table.all_versions().count() == 3
+    assert table.latest() == 0 and table.all_versions().count() == 3 and table.history().count() == 1
     assert table.overwrite(target.limit(1)) == 1
     assert table.as_of().count() == 1
 
 
+def test_history_after_a_type_change(spark, target):
+    table = SnapshotTable(spark, fresh_path(spark, "t"))
+    table.overwrite(target)
+    table.overwrite(target.withColumn("b", F.col("b").cast("string")).limit(2))
+    assert sorted(tuple(r) for r in table.history().collect()) == [(0, "overwrite", 3), (1, "overwrite", 2)]
+
+
+def test_malformed_delimited_row_fails(spark, tmp_path):
+    from galewright.sources.readers import read_delimited
+
+    (tmp_path / "rows.csv").write_text("k;b\n1;2\noops;3\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_delimited(spark, str(tmp_path / "rows.csv"), "k INT, b INT").collect()
+    schema = "k INT, b INT, _corrupt_record STRING"
+    kept = read_delimited(spark, str(tmp_path / "rows.csv"), schema, mode="PERMISSIVE").collect()
+    assert [r["_corrupt_record"] for r in kept] == [None, "oops;3"]
+    (tmp_path / "typed.csv").write_text("k;b;t\n1;2.5;x\n2;3;y\n")
+    found = read_delimited(spark, str(tmp_path / "typed.csv"))
+    assert [t for _, t in found.dtypes] == ["int", "double", "string"] and found.count() == 2
+
+
 def test_create_fails_on_duplicate_keys(spark):
     twice = spark.createDataFrame([(2, "p", 1), (2, "q", 2)], SCHEMA)
     with pytest.raises(PySparkException, match="duplicate key"):
@@ -195,7 +230,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, plan_of):
             spark.range(50).select(F.col("id").alias("k"), F.col("id").alias("f")), "gw_features", fresh_path(spark, "b"), ["k"], 4
         )
         joined = joins.feature_lookup(labels, features, "k", ["f"])
-        assert "Exchange" not in plan_of(joined)
+        assert "Exchange hashpartitioning" not in plan_of(joined)
         assert joined.filter("k = f").count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -71,11 +71,40 @@ def test_confusion_matrix_fills_empty_cells(spark):
     assert sorted(tuple(r) for r in found.collect()) == [(0, 0, 0), (0, 1, 0), (1, 0, 0), (1, 1, 3)]
 
 
-def test_slices_agree_whatever_the_strategy(scored):
+def test_unlisted_class_fails_instead_of_dropping_out(spark):
+    from pyspark.errors import PySparkException
+
+    three = frame(spark, [(1, 1), (0, 0), (2, 2), (2, 0)])
+    for found in (metrics.confusion_matrix(three, "y", "p"), metrics.binary_metrics(three, "y", "p")):
+        with pytest.raises(PySparkException, match="class outside the list"):
+            found.collect()
+    assert metrics.confusion_matrix(three, "y", "p", (0, 1, 2)).agg(F.sum("row_count")).first()[0] == 4
+
+
+def test_null_is_not_the_text_null(spark):
+    from galewright.operators import drift as drift_
+    from galewright.operators.project import null_as_text, slice_rows
+
+    odd = spark.createDataFrame([(None,), ("null",), ("\\null",), ("x",)], "c STRING")
+    assert {r[0] for r in odd.select(null_as_text(F.col("c"))).collect()} == {"null", "\\null", "\\\\null", "x"}
+    assert slice_rows(odd, ["c"]).filter("slice_key = 'c'").select("slice_value").distinct().count() == 4
+    assert drift_.merge_on_category(odd, odd, ["c"]).count() == 4
+
+
+def test_slices_agree_with_grouping_sets(scored):
     aggregates = [F.count("*").alias("n"), F.round(F.avg("balance"), 6).alias("v")]
     slices = ["job", "balance >= 100", "prediction"]
-    sets = profile.sliced_agg(scored, ["model_version"], slices, aggregates, 10)
-    exploded = profile.sliced_agg(scored, ["model_version"], slices, aggregates, 1)
+    named = scored.withColumn("big", F.expr("CAST(balance >= 100 AS STRING)")).withColumn("said", F.col("prediction").cast("string"))
+    of = {"job": "job", "balance >= 100": "big", "prediction": "said"}
+    key = F.lit(":all")
+    value = F.lit(":all")
+    for s, c in of.items():
+        key = F.when(F.grouping(c) == 0, F.lit(s)).otherwise(key)
+        value = F.when(F.grouping(c) == 0, F.col(c)).otherwise(value)
+    keys = ["model_version"]
+    sets = named.groupingSets([keys, *([*keys, c] for c in of.values())], *keys, *of.values())
+    sets = sets.agg(key.alias("slice_key"), value.alias("slice_value"), *aggregates)
+    exploded = profile.sliced_agg(scored, keys, slices, aggregates)
     pick = ["model_version", "slice_key", "slice_value", "n", "v"]
     assert sorted(map(tuple, sets.select(pick).collect())) == sorted(map(tuple, exploded.select(pick).collect()))
     assert profile.sliced_agg(scored, ["model_version"], [], aggregates).count() == 2
@@ -182,6 +211,16 @@ def test_gate_edges(spark):
     assert passed == {"first": 1, "weak": 0, "equal": 0, "better": 1, "none": 0}
 
 
+def test_champion_without_metric_fails_the_job(spark):
+    from pyspark.errors import PySparkException
+
+    schema = "model_name STRING, challenger_version INT, candidate_f1 DOUBLE, champion_version INT, champion_f1 DOUBLE"
+    with pytest.raises(PySparkException, match="no metric for champion version 1"):
+        registry.promote_decision(spark.createDataFrame([("m", 2, 0.01, 1, None)], schema)).collect()
+    first = registry.promote_decision(spark.createDataFrame([("m", 2, 0.01, None, None)], schema)).first()
+    assert (first["promoted"], first["new_champion_version"]) == (1, 2)
+
+
 def test_missing_metric_fails_the_job(spark):
     runs = spark.createDataFrame([("r1", "accuracy", 0.5)], "run_id STRING, metric STRING, value DOUBLE")
     from pyspark.errors import PySparkException

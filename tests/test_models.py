@@ -117,13 +117,14 @@ def test_expression_and_batches_agree(spark, tiny):
 
 def test_one_hot_of_unknown_values(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "c STRING")
-    assert prepare.fit_categories(df, "c") == ["a", "b"]
+    fitted = prepare.fit_categories(df, "c")
+    assert sorted(map(tuple, fitted.collect())) == [("a", 0), ("b", 1)]
+    indexed = prepare.index_category(df, "c", fitted.filter("category = 'b'"))
+    assert {(r["c"], r["c_index"]) for r in indexed.collect()} == {("a", None), ("b", 1), (None, None)}
     rows = prepare.one_hot(df, "c", ["a"]).select("c_a").collect()
     assert [r[0] for r in rows] == [1, 0, 0]
     with pytest.raises(PySparkException, match="unknown category"):
         prepare.one_hot(df, "c", ["a"], unknown="error").collect()
-    with pytest.raises(ValueError, match="more than 1"):
-        prepare.fit_categories(df, "c", limit=1)
 
 
 def test_imputation_uses_the_fitted_statistics(spark):
@@ -144,6 +145,5 @@ def test_transforming_needs_no_join(spark, tiny, plan_of):
     for df in (
         prepare.impute(orders, ["o_totalprice"], ["o_orderpriority"]),
         prepare.standard_scale(orders, ["o_totalprice"]),
-        prepare.with_class_weight(orders, "o_orderstatus"),
     ):
         assert "Join" not in plan_of(df)
