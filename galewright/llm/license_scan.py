@@ -9,7 +9,8 @@ shingles that the text holds decides.
 How sure a band is: a template of two or more shingles has a window in common with any text that holds
 two of them in a row, so no band can miss it; at a containment of 0.8 some two are in a row. A template
 of one shingle is met unless both neighbours in the text hash below it under every function: 3^-8, or
-0.015 %.
+0.015 %. The first and the last shingle of a text are windows of their own too, so there it can't be
+missed.
 """
 
 from __future__ import annotations
@@ -55,9 +56,9 @@ def _shingles(words: Column) -> Column:
 
 
 def _band(shingles: Column, k: int) -> Column:
-    """The lesser hash under function k of every two neighbours; the last shingle also alone."""
+    """The lesser hash under function k of every two neighbours; the first and last shingle also alone."""
     return F.zip_with(
-        shingles, F.slice(shingles, 2, _ALL),
+        F.concat(F.slice(shingles, 1, 1), shingles), shingles,
         lambda a, b: F.least(F.xxhash64(a, F.lit(k)), F.xxhash64(F.coalesce(b, a), F.lit(k))),
     )
 

@@ -332,6 +332,8 @@ def score(docs: DataFrame, role: Column, settings: ModelSettings = ModelSettings
     held_out = texts.cogroup(answers).applyInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     rows = held_out.toPandas()  # shares and buckets are binned, so the number of cells has a bound
     weights = learn_weights(rows["cell"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=np.int64), settings.order, types, settings.rounds)
+    if not tokens:
+        weights = [np.zeros(64) for _ in weights]
 
     def rate(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []

@@ -48,7 +48,7 @@ def grouped(rows):
 
 @pytest.mark.parametrize("block", (2048, 3))
 def test_groups_equal_brute_force(docs, edges, block):
-    table = edges.select("doc_id", "text").unionByName(docs.where("doc_id < 250").select(F.col("doc_id") + 100, "text"))
+    table = edges.select("doc_id", "text").unionByName(docs.where("doc_id < 250").select((F.col("doc_id") + 100).alias("doc_id"), "text"))
     wanted = grouped([(r[0], fingerprint(r[1])) for r in table.collect()])
     found = [(r.doc_id, r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(table, block=block).collect()]
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
@@ -70,13 +70,14 @@ def test_thresholds_cover_the_radius():
     bits[:, 1] = bits[:, 0]
     both = (bits.T.astype(float) @ bits).astype(float)
     for n in (100, 10**6, 10**10):
-        plan = simhash.allocate(n, both, 3)
+        plan = simhash.allocate(n, both * n / 4000, 3)
         assert sum(t + 1 for _, t in plan) == 4  # so some group differs in its threshold or fewer bits
         used = [b for g, _ in plan for b in g]
         assert len(used) == len(set(used))
     groups = simhash.grouped_bits(4000, both, 4)
     assert any(0 in g and 1 in g for g in groups) and sorted(b for g in groups for b in g) == list(range(64))
-    assert len(simhash.allocate(10**10, both, 3)) < len(simhash.allocate(10**3, both, 3))
+    fair = np.full((64, 64), 0.25) + 0.25 * np.eye(64)
+    assert len(simhash.allocate(10**11, fair * 10**11, 3)) < len(simhash.allocate(10**4, fair * 10**4, 3))
 
 
 def test_components_equal_union_find(spark):
