@@ -12,7 +12,7 @@ Counts are gathered by a request and its reply. Texts are kept in batches; a bat
 distinct n-grams once, as a sorted run of 64-bit hashes with its count, to the bin that holds the
 hash. A bin adds up what all batches sent and answers each with the totals in the same order, so an
 answer holds no keys. A frequent n-gram is one entry per batch, and no task holds more than one bin or
-one batch.
+one batch. Requests are at most batches times bins, and never more than the batches' distinct n-grams.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ _ZERO = 127
 class ModelSettings:
     order: int = 2
     batch_bytes: int = 8_000_000
-    bins_per_part: int = 8
+    bins_per_part: int = 2
     rounds: int = 60
 
 
