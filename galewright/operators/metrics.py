@@ -65,6 +65,32 @@ def quality_columns(label: str, prediction: str) -> dict[str, Column]:
     }
 
 
+def averaged_columns(label: str, prediction: str, classes: Sequence = (0, 1)) -> dict[str, Column]:
+    """Support-weighted precision, recall and F1 and the mean F1 of the classes that occur, as aggregates.
+
+    For a list of classes, so that they fit into any ``agg`` beside other metrics; rows without a label
+    or prediction are left out. ``averaged_metrics`` needs no list.
+    """
+    y, p = F.col(label), F.col(prediction)
+    known = y.isNotNull() & p.isNotNull()
+    weighted = {m: F.lit(0.0) for m in ("precision", "recall", "f1")}
+    total, found, f1_sum = F.lit(0), F.lit(0), F.lit(0.0)
+    for c in classes:
+        support, predicted = F.count_if(known & (y == F.lit(c))), F.count_if(known & (p == F.lit(c)))
+        hits = F.count_if((y == F.lit(c)) & (p == F.lit(c)))
+        of_class = {
+            "precision": ratio_or_zero(hits, predicted),
+            "recall": ratio_or_zero(hits, support),
+            "f1": ratio_or_zero(2 * hits, predicted + support),
+        }
+        weighted = {m: w + of_class[m] * support for m, w in weighted.items()}
+        total = total + support
+        found = found + F.when(support + predicted > 0, 1).otherwise(0)
+        f1_sum = f1_sum + of_class["f1"]
+    out = {f"weighted_{m}": ratio_or_zero(w, total) for m, w in weighted.items()}
+    return out | {"macro_f1": ratio_or_zero(f1_sum, found)}
+
+
 def binary_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, precision, recall and F1 of a 0/1 label; a row of another class fails the job."""
     metrics = [c.alias(n) for n, c in quality_columns(label, prediction).items()]

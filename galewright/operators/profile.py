@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from galewright.functions.templates import CustomMetric
 from galewright.operators.aggregates import to_rows
-from galewright.operators.metrics import quality_columns
+from galewright.operators.metrics import averaged_columns, quality_columns
 from galewright.operators.project import slice_rows
 
 OVERALL = ":all"
@@ -42,15 +42,18 @@ def profile_metrics(
     columns: Sequence[str] = (),
     custom: Sequence[CustomMetric] = (),
     granularity: str = "1 day",
+    classes: Sequence = (0, 1),
 ) -> DataFrame:
     """The profile table: one row per window, model version, slice, column and metric.
 
     Quality and custom metrics belong to the pseudo column ``:table``; each name in ``columns`` adds
     its count, NULL count and, for numbers, min, max, mean and standard deviation. One aggregation
-    computes everything.
+    computes everything. Weighted and macro metrics run over ``classes``; accuracy and the metrics of
+    class 1 belong to 0/1 labels.
     """
     cells: dict[tuple[str, str], Column] = {(WHOLE_ROW, "count"): F.count(F.lit(1))}
     cells |= {(WHOLE_ROW, n): c for n, c in quality_columns(label, prediction).items()}
+    cells |= {(WHOLE_ROW, n): c for n, c in averaged_columns(label, prediction, classes).items()}
     for metric in custom:
         for source, aggregate in metric.columns(prediction, label):
             cells[source, metric.name] = aggregate
@@ -78,22 +81,29 @@ def _column_cells(df: DataFrame, name: str) -> dict[str, Column]:
     return cells
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approx_distinct: bool = False) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = False) -> DataFrame:
     """Per column: rows, NULLs, distinct values and, for numbers, min, max, mean and standard deviation.
 
-    All columns are profiled in one pass. Exact distinct counts shuffle every distinct value of
-    every column; ``approx_distinct`` keeps a fixed-size sketch per column instead.
+    One pass. The distinct count is a fixed-size sketch per column; ``exact_distinct`` counts the
+    distinct (column, value) pairs in a second aggregation instead, which shuffles each such pair once.
     """
     names = list(columns or df.columns)
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
     fields = ("row_count", "num_nulls", "distinct_count", "min_value", "max_value", "mean_value", "stddev_value")
     aggregates: list[Column] = []
     for i, name in enumerate(names):
         c = F.col(name)
         is_number = isinstance(df.schema[name].dataType, T.NumericType)
         x = c.cast("double") if is_number else F.lit(None).cast("double")
-        values = (F.count(F.lit(1)), F.count_if(c.isNull()), distinct(c), F.min(x), F.max(x), F.avg(x), F.stddev(x))
+        distinct = F.lit(0).cast("bigint") if exact_distinct else F.approx_count_distinct(c)
+        values = (F.count(F.lit(1)), F.count_if(c.isNull()), distinct, F.min(x), F.max(x), F.avg(x), F.stddev(x))
         aggregates += [v.alias(f"_{i}_{f}") for f, v in zip(fields, values)]
     wide = df.agg(*aggregates)
     cells = {n: F.struct(*[F.col(f"_{i}_{f}").alias(f) for f in fields]) for i, n in enumerate(names)}
-    return to_rows(wide, [], cells, "column_name")
+    found = to_rows(wide, [], cells, "column_name")
+    if not exact_distinct:
+        return found
+    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).cast("string").alias("_value")) for n in names])
+    stacked = df.select(F.inline(pairs)).where("_value IS NOT NULL").groupBy("column_name", "_value").agg(F.lit(1).alias("_one"))
+    counted = stacked.groupBy("column_name").agg(F.count("_one").alias("_distinct"))
+    joined = found.join(counted, "column_name", "left")
+    return joined.withColumn("distinct_count", F.coalesce("_distinct", F.lit(0))).drop("_distinct")

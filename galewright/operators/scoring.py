@@ -6,11 +6,17 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewright.operators.joins import feature_lookup
+from galewright.operators.project import reorder_metadata_last, require_columns, stamp_metadata
 from galewright.session import ship_package
+from galewright.sources.snapshots import SnapshotTable
+
+# The columns that scoring stamps on its rows.
+STAMPS = ("model_name", "model_alias", "model_version", "scored_at")
 
 
 @dataclass(frozen=True)
@@ -77,6 +83,46 @@ def batch_score(df: DataFrame, load: Callable[[], object], inputs: Sequence[str]
     return df.withColumn(name, predict(F.struct(*[F.col(c) for c in inputs])))
 
 
+def model_path(root: str, name: str, version: str | int) -> str:
+    return f"{root}/{name}/version={version}"
+
+
+def save_model(model: PipelineModel, root: str, name: str, version: str | int) -> None:
+    """Store a fitted pipeline below ``root`` by name and version; an existing version is never replaced."""
+    model.save(model_path(root, name, version))
+
+
+def load_model(root: str, name: str, version: str | int) -> PipelineModel:
+    return PipelineModel.load(model_path(root, name, version))
+
+
+def score_with_alias(
+    df: DataFrame,
+    root: str,
+    aliases: DataFrame,
+    name: str,
+    alias: str,
+    inputs: Mapping[str, str | None],
+    keep: Sequence[str],
+    output: SnapshotTable,
+    scored_at: Column | None = None,
+) -> DataFrame:
+    """Score a table with the stored model that an alias names, and count the stored rows by prediction.
+
+    Alias to version, load that version, check its inputs (name and type) in the source, score, stamp the
+    model and the time, put these columns last, commit to ``output`` with an unchanged schema, and count
+    ``(prediction, row_count)`` from what was written. An unknown alias raises.
+    """
+    version = aliases.where((F.col("model_name") == name) & (F.col("alias") == alias)).agg(F.max("version")).first()[0]
+    if version is None:
+        raise ValueError(f"model {name} has no alias {alias}")
+    require_columns(df, inputs)
+    scored = load_model(root, name, version).transform(df).select(*keep, F.col("prediction").cast("double").alias("prediction"))
+    stamped = stamp_metadata(scored, name, alias, version, scored_at)
+    output.overwrite(reorder_metadata_last(stamped, STAMPS), "score", keep_schema=True)
+    return output.as_of().groupBy("prediction").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def score_by_key(
     keys: DataFrame, features: DataFrame, key: str, model: LinearModel, hot_share: float | None = None
 ) -> DataFrame:

@@ -59,6 +59,30 @@ def feature_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return joins.feature_lookup(labels, customer_features(spark, sf), "customer_id", _FEATURE_NAMES, ["customer_id"])
 
 
+@query(
+    "training_set",
+    with_sql(
+        _FEATURES,
+        "labels AS (SELECT o_orderkey, o_custkey AS customer_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y_flag FROM orders)",
+        "lines AS (SELECT l_orderkey AS o_orderkey, count(*) AS n_lines, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem GROUP BY l_orderkey)",
+    )
+    + "SELECT o_orderkey, y_flag, balance, job, n_lines, quantity FROM labels LEFT JOIN features USING (customer_id) LEFT JOIN lines USING (o_orderkey)",
+)
+def training_set(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels with features of two tables, each looked up by its own key."""
+    labels = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("customer_id"), rules.flag(F.col("o_orderstatus") == "F").alias("y_flag")
+    )
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").cast("bigint").alias("quantity")
+    )
+    lookups = [
+        joins.Lookup(customer_features(spark, sf), "customer_id", ["balance", "job"]),
+        joins.Lookup(lines, "o_orderkey", ["n_lines", "quantity"]),
+    ]
+    return joins.training_set(labels, lookups, ["customer_id"])
+
+
 # Two of five event types act for one shared account, so that account holds two fifths of the labels.
 _SHARED = "CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE user_id END"
 

@@ -10,7 +10,9 @@ from galewright.functions.templates import missed_value_metric
 from galewright.operators import drift, profile
 from galewright.operators.sampling import hash_sample
 from galewright.plans.features import FORCED, forced_rows
-from galewright.plans.quality import ACCURACY, F1, LABEL, MODEL, PRECISION, PREDICTION, RECALL, TIME, rounded
+from galewright.plans.quality import (
+    ACCURACY, F1, F1_ZERO, LABEL, MODEL, PRECISION, PRECISION_ZERO, PREDICTION, RECALL, RECALL_ZERO, TIME, rounded,
+)
 from galewright.plans.registration import CONTACTS, SCORED, share_sql, query, with_sql
 from galewright.sources.fixtures import contacts, scored_events, table
 
@@ -36,12 +38,21 @@ def _metric_rows(metrics: dict[tuple[str, str], str]) -> str:
     )
 
 
+def _weighted(one: str, zero: str) -> str:
+    """The mean of both classes' metric, weighted by their labels."""
+    return f"COALESCE(({one} * (tp + fn) + {zero} * (tn + fp)) / NULLIF(tp + fp + fn + tn, 0), 0)"
+
+
 _QUALITY = {
     (":table", "count"): "n",
     (":table", "accuracy"): ACCURACY,
     (":table", "precision"): PRECISION,
     (":table", "recall"): RECALL,
     (":table", "f1"): F1,
+    (":table", "weighted_precision"): _weighted(PRECISION, PRECISION_ZERO),
+    (":table", "weighted_recall"): _weighted(RECALL, RECALL_ZERO),
+    (":table", "weighted_f1"): _weighted(F1, F1_ZERO),
+    (":table", "macro_f1"): f"COALESCE(({F1} + {F1_ZERO}) / NULLIF(CAST(tp + fp + fn > 0 AS INT) + CAST(tn + fp + fn > 0 AS INT), 0), 0)",
     (":table", "missed_value"): "missed",
 }
 _COLUMN_CELLS = {
@@ -112,7 +123,7 @@ _PROFILED = {"age": True, "job": False, "balance": True, "duration": True, "pday
 
 @query("column_profile", with_sql(CONTACTS) + _profile_sql(_PROFILED))
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
-    wide = profile.column_profile(contacts(spark, sf), list(_PROFILED))
+    wide = profile.column_profile(contacts(spark, sf), list(_PROFILED), exact_distinct=True)
     return rounded(wide, "min_value", "max_value", "mean_value", "stddev_value")
 
 

@@ -5,15 +5,18 @@ Thirty runs of five models: the user number modulo 30 names the run that served
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galewright.functions.numeric import half_up
-from galewright.operators import metrics, registry
+from galewright.operators import metrics, registry, scoring
 from galewright.plans.quality import ACCURACY, F1, LABEL, PRECISION, PREDICTION, RECALL, WEIGHTED_F1, counts_sql, rounded
-from galewright.plans.registration import query, with_sql
-from galewright.session import materialize
-from galewright.sources.fixtures import table
+from galewright.plans.registration import CONTACTS, query, with_sql
+from galewright.session import fresh_path, materialize
+from galewright.sources.fixtures import contacts, table
+from galewright.sources.snapshots import SnapshotTable
 
 _RUN = {
     "model_name": "concat('model-', CAST(user_id % 5 AS STRING))",
@@ -187,3 +190,24 @@ def segment_gate(spark: SparkSession, sf: str) -> DataFrame:
     quality = metrics.averaged_metrics(log, LABEL, PREDICTION, ["segment", "model_version"])
     judged = registry.segment_gate(quality, "segment", "model_version", champion=1, challenger=2, minimum=0.55)
     return rounded(judged, "champion_f1", "candidate_f1", "required_f1")
+
+
+_RULE = "CASE WHEN duration + campaign * 10 > 200 + 20 * {version} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction"
+
+
+@query(
+    "score_with_alias",
+    _sql(_ALIASES, CONTACTS, "chosen AS (SELECT max(version) AS version FROM aliases WHERE model_name = 'model-1' AND alias = 'champion')")
+    + f"SELECT prediction, count(*) AS row_count FROM (SELECT {_RULE.format(version='version')} FROM contacts, chosen) GROUP BY prediction",
+)
+def score_with_alias(spark: SparkSession, sf: str) -> DataFrame:
+    """The champion of one model scores the contacts; each stored version has a cutoff of its own."""
+    runs, root, name = run_table(spark, sf), fresh_path(spark, "models"), "model-1"
+    stored = [r.version for r in versions(runs).filter(F.col("model_name") == name).select("version").distinct().collect()]
+    for version in stored:
+        rule = SQLTransformer(statement=f"SELECT *, {_RULE.format(version=version)} FROM __THIS__")
+        scoring.save_model(PipelineModel([rule]), root, name, version)
+    source = contacts(spark, sf)
+    inputs = {c: source.schema[c].dataType.simpleString() for c in ("duration", "campaign")}
+    output = SnapshotTable(spark, fresh_path(spark, "predictions"))
+    return scoring.score_with_alias(source, root, alias_table(runs), name, registry.CHAMPION, inputs, ["contact_key", "duration"], output)

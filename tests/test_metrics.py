@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -118,6 +119,21 @@ def test_profile_reads_the_log_once(scored, spark, tiny, plan_of):
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
 
 
+def test_averages_in_one_aggregation_equal_the_grouped_ones(spark):
+    three = frame(spark, [(1, 1), (0, 0), (2, 2), (2, 0), (1, 0), (0, 2), (1, None), (None, 1)])
+    cells = {n: c.alias(n) for n, c in metrics.averaged_columns("y", "p", (0, 1, 2, 3)).items()}
+    wanted = metrics.averaged_metrics(three, "y", "p").first().asDict()
+    assert three.agg(*cells.values()).first().asDict() == pytest.approx(wanted)
+    assert three.limit(0).agg(*cells.values()).first()["macro_f1"] == 0
+
+
+def test_sketched_distinct_counts_are_close(spark):
+    df = spark.range(5000).select((F.col("id") % 700).alias("a"), F.lit(None).cast("string").alias("b"))
+    for exact in (True, False):
+        found = {r["column_name"]: r["distinct_count"] for r in profile.column_profile(df, exact_distinct=exact).collect()}
+        assert found["b"] == 0 and found["a"] == pytest.approx(700, rel=0 if exact else 0.1)
+
+
 def test_template_rejects_anything_but_names(spark):
     metric = CustomMetric("m", "avg({{prediction_col}})", DOUBLE_OUTPUT)
     with pytest.raises(ValueError, match="plain column name"):
@@ -189,7 +205,14 @@ def test_windowed_drift_counts_what_a_side_lacks(spark):
     "x, df, p", [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (18.307038, 10, 0.05), (0.0, 3, 1.0), (24.724970, 11, 0.01), (2000.0, 4, 0.0)]
 )
 def test_chi_squared_tail(x, df, p):
-    assert drift.chi_squared_tail(x, df) == pytest.approx(p, abs=1e-6)
+    assert float(drift.chi_squared_tail(x, df)) == pytest.approx(p, abs=1e-6)
+
+
+def test_chi_squared_tail_of_an_array():
+    x, df = np.array([0.0, 5.0, 5.0, 1e6, 3e5]), np.array([2, 0, 4, 1_000_000, 4])
+    found = drift.chi_squared_tail(x, df)
+    assert found[:2].tolist() == [1.0, 1.0] and found[4] == 0.0
+    assert found[2] == pytest.approx(3.5 * np.exp(-2.5)) and found[3] == pytest.approx(0.49981193, abs=1e-7)
 
 
 def test_chi_squared_equals_spark_ml(spark, scored):

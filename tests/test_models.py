@@ -147,3 +147,24 @@ def test_transforming_needs_no_join(spark, tiny, plan_of):
         prepare.standard_scale(orders, ["o_totalprice"]),
     ):
         assert "Join" not in plan_of(df)
+
+
+def test_scoring_by_alias_stamps_stores_and_refuses(spark, parts, forest, tmp_path):
+    from galewright.sources.snapshots import SnapshotTable
+
+    root, output = str(tmp_path / "models"), SnapshotTable(spark, str(tmp_path / "scored"))
+    scoring.save_model(forest, root, "m", 3)
+    aliases = spark.createDataFrame([("m", "champion", 3), ("other", "champion", 9)], "model_name STRING, alias STRING, version INT")
+    rows = training.numeric_inputs(parts["test"], NUMERIC)
+    inputs = {c: None for c in (*CATEGORICAL, *NUMERIC)}
+    counts = scoring.score_with_alias(rows, root, aliases, "m", "champion", inputs, ["contact_key"], output)
+    assert sum(r["row_count"] for r in counts.collect()) == rows.count()
+    stored = output.as_of()
+    assert stored.columns == ["contact_key", "prediction", *scoring.STAMPS]
+    assert tuple(stored.select("model_name", "model_alias", "model_version").distinct().first()) == ("m", "champion", "3")
+    with pytest.raises(ValueError, match="no alias"):
+        scoring.score_with_alias(rows, root, aliases, "m", "challenger", inputs, ["contact_key"], output)
+    with pytest.raises(project.MissingInput):
+        scoring.score_with_alias(rows.drop("balance"), root, aliases, "m", "champion", inputs, ["contact_key"], output)
+    with pytest.raises(Exception, match="exists"):
+        scoring.save_model(forest, root, "m", 3)
