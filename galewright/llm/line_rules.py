@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from galewright.llm.frames import columns_as, map_arrow
 from galewright.llm.textarrays import (
-    _BYTE_VALUES, Texts, Words, joined, lower_ascii, range_hashes, sums, text_slices, word_hashes, words,
+    BYTE_VALUES, Texts, Words, joined, lower_ascii, range_hashes, sums, text_slices, word_hashes, words,
 )
 
 # Phrases of page furniture, in lower case.
@@ -138,7 +138,7 @@ def measure(texts: Texts, rules: LineRules, clean: bool) -> dict[str, np.ndarray
     punctuation = some & (sums(marked & ~separator, word_first) > rules.marked_share * in_line)
     punctuation |= some & ~ended & (in_line < rules.unended_words)
     navigation = some & (sums(separator, word_first) > rules.separator_share * in_line)
-    line_hash = range_hashes(_BYTE_VALUES[data], start, end)
+    line_hash = range_hashes(BYTE_VALUES[data], start, end)
     repeated = np.zeros(len(start), dtype=bool)
     text_key = joined(np.arange(len(texts)).astype(np.uint64), np.uint64(1))
     repeated[some] = _again(joined(line_hash[some], text_key[text_of_line[some]]))

@@ -22,7 +22,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _BASE = 0x9E3779B97F4A7C15
-_BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, size=256, dtype=np.uint64)
+BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, size=256, dtype=np.uint64)
 
 
 @dataclass
@@ -131,7 +131,7 @@ def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
 
 def word_hashes(data: np.ndarray, found: Words) -> np.ndarray:
     """A 64-bit hash of every word's bytes."""
-    return range_hashes(_BYTE_VALUES[data], found.start, found.end)
+    return range_hashes(BYTE_VALUES[data], found.start, found.end)
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
