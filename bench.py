@@ -30,15 +30,18 @@ HEADLINE = (
     "stable_key",
     "feature_lookup",
     "feature_lookup_hot",
+    "feature_upsert",
     "stratified_split",
     "profile_sliced",
     "profile_columns",
+    "column_profile",
     "drift_js",
     "drift_windows",
     "roc_auc",
     "weighted_macro_metrics",
     "score_linear",
     "batch_score",
+    "train_logistic",
     "stream_daily_profile",
 )
 
