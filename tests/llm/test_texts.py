@@ -9,7 +9,7 @@ from math import log10
 
 import numpy as np
 import pytest
-from conftest import EDGES
+from edge_rows import EDGES
 from oracle import connect, differences
 from pyspark.sql import functions as F
 

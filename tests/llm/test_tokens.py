@@ -11,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
-from conftest import EDGES
+from edge_rows import EDGES
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
