@@ -27,7 +27,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
     A source with all columns replaces whole rows: target rows without a source row, plus the source.
     The anti join ships only source keys, so a small source never shuffles the target. A source with
-    a subset of the columns updates just those; columns it lacks are NULL in inserted rows.
+    a subset of the columns updates just those, by one full outer join; columns it lacks are NULL in
+    inserted rows.
     """
     keys = list(keys)
     extra = [c for c in source.columns if c not in target.columns]
@@ -41,17 +42,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     incoming = checked.select(
         *keys, F.struct(*updates).alias("_incoming") if updates else F.lit(None).alias("_incoming"), F.lit(True).alias("_hit")
     )
-    updated = target.join(incoming, keys, "left").select(
+    return target.join(incoming, keys, "full_outer").select(
         *[
             F.when(F.col("_hit"), F.col("_incoming").getField(c)).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
             for c in target.columns
         ]
     )
-    fresh = anti_unmatched(checked, target, keys)
-    inserted = fresh.select(
-        *[F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns]
-    )
-    return updated.unionByName(inserted)
 
 
 def anti_unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

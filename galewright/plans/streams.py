@@ -29,7 +29,7 @@ def stream_daily_profile(spark: SparkSession, sf: str) -> DataFrame:
     profile = SnapshotTable(spark, fresh_path(spark, "daily-profile"))
     daily = log.daily_profile(as_scored(_events(spark, sf)), TIME, MODEL, LABEL, PREDICTION)
     sink = log.upsert_sink(profile, ["window_start", "window_end", MODEL], "daily-profile")
-    log.run_available(daily, sink, mode="update")
+    log.run_available(daily, sink, fresh_path(spark, "stream"), mode="update")
     return rounded(profile.as_of(), "accuracy", "precision", "recall", "f1")
 
 
@@ -51,7 +51,7 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", F.round(model.score(), 6).alias("score"), model.prediction().alias("prediction")
     )
     path = fresh_path(spark, "stream-scores")
-    log.append_files(scored, path)
+    log.append_files(scored, path, fresh_path(spark, "stream"))
     return spark.read.schema(scored.schema).parquet(path)
 
 
@@ -64,7 +64,7 @@ def stream_label_backfill(spark: SparkSession, sf: str) -> DataFrame:
     logged = SnapshotTable(spark, fresh_path(spark, "logged"))
     logged.overwrite(scored_events(spark, sf).select("event_id", "job", "prediction", "y_flag"))
     late = as_scored(_events(spark, sf)).filter(F.col("job") == "click").select("event_id", (1 - F.col("y_flag")).alias("y_flag"))
-    log.run_available(late, log.backfill_sink(logged, ["event_id"], ["y_flag"], "late-labels"))
+    log.run_available(late, log.backfill_sink(logged, ["event_id"], ["y_flag"], "late-labels"), fresh_path(spark, "stream"))
     return logged.as_of()
 
 
@@ -77,5 +77,5 @@ def stream_feature_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """The newest value per user and event type."""
     features = SnapshotTable(spark, fresh_path(spark, "newest"))
     arriving = _events(spark, sf).select("user_id", "event_type", "ts", "value")
-    log.run_available(arriving, log.upsert_sink(features, ["user_id", "event_type"], "newest", newest_by="ts"))
+    log.run_available(arriving, log.upsert_sink(features, ["user_id", "event_type"], "newest", newest_by="ts"), fresh_path(spark, "stream"))
     return features.as_of()

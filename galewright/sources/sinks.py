@@ -1,7 +1,8 @@
 """Writes to plain folders and catalog tables.
 
-A full overwrite goes to a new folder, so a plan may read the table it replaces and a failed write
-leaves the old data in place.
+Spark refuses to replace a table that the same plan reads. A snapshot table (``snapshots.py``) writes each
+version to a folder of its own, so there a plan may read what it replaces, and a failed write leaves
+the old data in place.
 """
 
 from __future__ import annotations

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from galewright.functions.numeric import utc_instant, utc_wall_clock
 from galewright.operators.joins import backfill
 from galewright.operators.metrics import quality_columns
-from galewright.session import fresh_path
 from galewright.sources.snapshots import SnapshotTable
 
 
@@ -50,13 +49,13 @@ def daily_profile(
 
 
 def run_available(
-    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str | None = None, mode: str = "append"
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> None:
     """Process everything that has arrived, in as many batches as the source plans, then stop."""
     query = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(sink)
-        .option("checkpointLocation", checkpoint or fresh_path(stream.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
@@ -129,12 +128,12 @@ def backfill_sink(
     return _once(table, stream_id, write)
 
 
-def append_files(stream: DataFrame, path: str, checkpoint: str | None = None) -> None:
+def append_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append all available rows to a parquet folder, exactly once per checkpoint."""
     query = (
         stream.writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", checkpoint or fresh_path(stream.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -73,8 +73,9 @@ def test_change_feed_replays_to_the_new_version(target, source):
 
 def test_change_feed_refuses_a_null_key(spark, target):
     odd = target.unionByName(spark.createDataFrame([(None, "n", 0)], SCHEMA))
-    with pytest.raises(PySparkException, match="NULL in the key"):
-        joins.change_feed(odd, odd, ["k"]).collect()
+    for before, after in ((odd, target), (target, odd)):
+        with pytest.raises(Exception, match="NULL in the key"):
+            joins.change_feed(before, after, ["k"]).collect()
 
 
 @pytest.mark.parametrize("share", [None, 0.1])

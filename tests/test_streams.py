@@ -32,7 +32,7 @@ def test_daily_profile_equals_batch(spark, tiny, folder, zone):
     try:
         daily = log.daily_profile(as_scored(stream(spark, tiny, folder)), "inference_timestamp", "model_version", "y_flag", "prediction", "40 days")
         profile = SnapshotTable(spark, fresh_path(spark, "daily"))
-        log.run_available(daily, log.upsert_sink(profile, ["window_start", "window_end", "model_version"], "daily"), mode="update")
+        log.run_available(daily, log.upsert_sink(profile, ["window_start", "window_end", "model_version"], "daily"), fresh_path(spark, "stream"), mode="update")
         names = ["window_start", "window_end", "model_version", "row_count", "accuracy", "f1"]
         found = sorted(tuple(r) for r in profile.as_of().select(names).collect())
         batch = windowed(scored_events(spark, tiny), "inference_timestamp").groupBy(*names[:3]).agg(
