@@ -133,3 +133,31 @@ def test_no_usable_vectors(spark):
 def test_sample_vectors_all_links(spark, sf, entry):
     found = entry["op3_embedding_groups"](spark, sf).toPandas()
     assert len(found) == 500 and (found.kept == (found.vec_id == found.component_id)).all()
+
+
+def shared_direction(rng, n, dim, rank, share, cosines):
+    """Vectors around a common direction, of full or low rank, and neighbours at given cosines."""
+    spread = rng.normal(size=(n, rank)) @ rng.normal(size=(rank, dim))
+    spread /= np.linalg.norm(spread, axis=1, keepdims=True)
+    common = rng.normal(size=dim)
+    unit = np.sqrt(share) * common / np.linalg.norm(common) + np.sqrt(1 - share) * spread
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    base, towards = unit[:600], unit[-600:]
+    side = towards - (towards * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = np.resize(cosines, 600)[:, None]
+    return np.vstack([unit, cosine * base + np.sqrt(1 - cosine**2) * side])
+
+
+@pytest.mark.parametrize(("dim", "rank", "share"), ((64, 64, 0.5), (64, 64, 0.7), (96, 12, 0.5), (24, 24, 0.0)))
+def test_index_finds_links_of_vectors_that_share_a_direction(dim, rank, share):
+    unit = shared_direction(np.random.default_rng(8), 3000, dim, rank, share, (0.9001, 0.91, 0.92))
+    settings = embedding_dedup.VectorSettings(exact=0)  # an index wherever one serves
+    rotation = embedding_dedup.fit_rotation(unit, settings)
+    index = embedding_dedup.choose_index(rotation, unit, 10**6, settings)
+    if index:  # without one, all vectors are compared
+        i, j = np.nonzero(np.triu(unit @ unit.T >= settings.threshold, 1))
+        codes = rotation.codes(unit)
+        apart = codes[i] ^ codes[j]
+        found = embedding_dedup._met(apart, index.tables, index.flips) & (np.bitwise_count(apart) <= index.radius)
+        assert found.mean() > 0.95
