@@ -161,3 +161,23 @@ def test_index_finds_links_of_vectors_that_share_a_direction(dim, rank, share):
         apart = codes[i] ^ codes[j]
         found = embedding_dedup._met(apart, index.tables, index.flips) & (np.bitwise_count(apart) <= index.radius)
         assert found.mean() > 0.95
+
+
+@pytest.mark.parametrize("exact", (0, 16_384))
+def test_every_length_is_compared(spark, exact):
+    rng = np.random.default_rng(10)
+    long, short = shared_direction(rng, 700, 48, 48, 0.6, (0.91,)), shared_direction(rng, 650, 24, 24, 0.3, (0.93,))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate([*long, *short, short[5], short[7]])]
+    settings = embedding_dedup.VectorSettings(exact=exact, block=500)
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), settings).collect()}
+    at = 0
+    for unit in (long, np.vstack([short, short[[5, 7]]])):
+        close = unit @ unit.T >= settings.threshold
+        np.fill_diagonal(close, False)
+        links = np.array([found[at + i].n_links for i in range(len(unit))])
+        assert (links <= close.sum(axis=1)).all() and links.sum() >= 0.95 * close.sum()
+        if exact:
+            assert (links == close.sum(axis=1)).all()
+        at += len(unit)
+    copies = at - 2
+    assert not found[copies].kept and not found[copies + 1].kept
