@@ -81,7 +81,7 @@ def op9_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 7) == 2
     tuned = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(8)) == 0
     role = F.when(held_out, ngram_lm.SCORE).when(tuned, ngram_lm.TUNE).otherwise(ngram_lm.FIT)
-    found = ngram_lm.score(docs, role)
+    found = ngram_lm.score(docs, role, ngram_lm.ModelSettings(order=3))
     kept = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     return found.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), *kept)
 

@@ -17,7 +17,7 @@ one batch. Requests are at most batches times bins, and never more than the batc
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +44,7 @@ class ModelSettings:
     batch_bytes: int = 8_000_000
     bins_per_part: int = 2
     rounds: int = 60
+    cells_on_driver: int = 200_000
 
 
 def grams(texts: Texts, order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -73,11 +74,13 @@ def _together(slices: list[tuple[list[np.ndarray], np.ndarray]], order: int) ->
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values, dtype="<i8").tobytes(), 1)
+    """Counts in as few bytes each as the largest needs, compressed."""
+    width = next(w for w in (1, 2, 4, 8) if not len(values) or int(values.max()) < 1 << (8 * w - 1))
+    return bytes([width]) + zstandard.compress(np.ascontiguousarray(values, dtype=f"<i{width}").tobytes(), 1)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(blob), dtype="<i8")
+    return np.frombuffer(zstandard.decompress(blob[1:]), dtype=f"<i{blob[0]}").astype(np.int64)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -254,30 +257,36 @@ def _shares(found: Estimates, total: int) -> list[np.ndarray]:
     return out
 
 
-def learn_weights(cells: np.ndarray, numbers: np.ndarray, order: int, types: int, rounds: int) -> list[np.ndarray]:
-    """Weights by level and context bucket from held-out tokens counted by cell (``_cells``)."""
+def _expected(cells: np.ndarray, numbers: np.ndarray, weights: list[np.ndarray], types: int) -> np.ndarray:
+    """By level and context bucket: cells, tokens that reach the level, and tokens that it explains."""
     shares, buckets = [], []
-    for _ in range(order):
+    for _ in weights:
         step = cells & 127
         shares.append(np.where(step == _ZERO, 0.0, 2.0 ** (-step / _STEPS)))
         buckets.append((cells >> 7) & 63)
         cells = cells >> 13
-    weights = [np.full(64, 0.5) for _ in range(order)]
-    for _ in range(rounds if len(numbers) else 0):
-        below, levels = np.full(len(numbers), 1 / (types + 1)), []
-        for k in range(order):
-            part = weights[k][buckets[k]] * shares[k]
-            below = part + (1 - weights[k][buckets[k]]) * below
-            levels.append(part / below)
-        left = numbers.astype(np.float64)
-        for k in reversed(range(order)):
-            seen, hit = (np.bincount(buckets[k], weights=v, minlength=64) for v in (left, left * levels[k]))
-            weights[k] = np.where(seen > 0, hit / np.maximum(seen, 1e-300), weights[k])
-            left = left * (1 - levels[k])
+    below, levels = np.full(len(numbers), 1 / (types + 1)), []
+    for weight, share, bucket in zip(weights, shares, buckets):
+        part = weight[bucket] * share
+        below = part + (1 - weight[bucket]) * below
+        levels.append(part / below)
+    left, out = numbers.astype(np.float64), np.zeros((len(weights), 3, 64))
+    for k in reversed(range(len(weights))):
+        for row, v in enumerate((None, left, left * levels[k])):
+            out[k, row] = np.bincount(buckets[k], weights=v, minlength=64)
+        left = left * (1 - levels[k])
+    return out
+
+
+def _maximised(expected: Callable[[list[np.ndarray]], np.ndarray], order: int, rounds: int) -> list[np.ndarray]:
+    weights, met = [np.full(64, 0.5) for _ in range(order)], np.zeros((order, 64), dtype=bool)
+    for _ in range(rounds):
+        found = expected(weights)
+        met = found[:, 0] > 0
+        weights = [np.where(f[1] > 0, f[2] / np.maximum(f[1], 1e-300), w) for f, w in zip(found, weights)]
     for k in range(order):
-        met = np.isin(np.arange(64), buckets[k])
         for b in range(1, 64):  # a bucket without held-out tokens takes the next lower one's weight
-            if not met[b]:
+            if not met[k, b]:
                 weights[k][b] = weights[k][b - 1]
         if k:
             weights[k][0] = 0.0
@@ -285,6 +294,26 @@ def learn_weights(cells: np.ndarray, numbers: np.ndarray, order: int, types: int
     return weights
 
 
+def learn_weights(cells: np.ndarray, numbers: np.ndarray, order: int, types: int, rounds: int) -> list[np.ndarray]:
+    """Weights by level and context bucket from held-out tokens counted by cell (``_cells``)."""
+    return _maximised(lambda w: _expected(cells, numbers, w, types), order, rounds if len(numbers) else 0)
+
+
+def learn_weights_where_they_stand(cells: DataFrame, order: int, types: int, rounds: int) -> list[np.ndarray]:
+    """The same from a written table ``cell, n``: every round, the tasks send sums of a fixed size."""
+
+    def expected(weights: list[np.ndarray]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((order, 3, 64))
+            for batch in batches:
+                total += _expected(batch.column("cell").to_numpy(), batch.column("n").to_numpy(), weights, types)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["sums"])
+
+        return sum((np.frombuffer(r.sums).reshape(order, 3, 64) for r in map_arrow(cells, run, "sums binary").collect()), np.zeros((order, 3, 64)))
+
+    return _maximised(expected, order, rounds)
+
+
 def _cells(found: Estimates, total: int) -> np.ndarray:
     """Each token's shares, in quarters of a power of two, and context buckets as one integer."""
     out = np.zeros(len(found.counts[0]), dtype=np.int64)
@@ -330,8 +359,12 @@ def score(docs: DataFrame, role: Column, settings: ModelSettings = ModelSettings
 
     texts, answers = by_batch(f"role = {TUNE}")
     held_out = texts.cogroup(answers).applyInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    rows = held_out.toPandas()  # shares and buckets are binned, so the number of cells has a bound
-    weights = learn_weights(rows["cell"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=np.int64), settings.order, types, settings.rounds)
+    held_out = materialize(held_out, "cells")
+    if held_out.count() > settings.cells_on_driver:
+        weights = learn_weights_where_they_stand(held_out, settings.order, types, settings.rounds)
+    else:
+        rows = held_out.toPandas()
+        weights = learn_weights(rows["cell"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=np.int64), settings.order, types, settings.rounds)
     if not tokens:
         weights = [np.zeros(64) for _ in weights]
 

@@ -198,3 +198,27 @@ def test_keys_are_packed_without_loss():
     for n in (1, 2, 1000):
         keys = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
         assert (ngram_lm.unpack_keys(ngram_lm.pack_keys(keys)) == keys).all()
+
+
+def test_registered_scores_use_trigrams(spark, sf, docs, entry):
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    tuned = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(8)) == 0
+    role = F.when(held_out, ngram_lm.SCORE).when(tuned, ngram_lm.TUNE).otherwise(ngram_lm.FIT)
+    wanted = {r.doc_id: r.score for r in ngram_lm.score(docs, role, ngram_lm.ModelSettings(order=3)).collect()}
+    found = {r.doc_id: r.score for r in entry["op9_ngram_scores"](spark, sf).collect()}
+    assert found.keys() == wanted.keys() and np.allclose([found[i] for i in wanted], list(wanted.values()), rtol=1e-9)
+
+
+def test_weights_are_learned_alike_where_cells_stand(spark):
+    rng = np.random.default_rng(3)
+    fields = [rng.integers(0, high, 3000) for high in (128, 1, 128, 20, 128, 20)]
+    cells = np.unique(sum(f << at for f, at in zip(fields, (0, 7, 13, 20, 26, 33))))
+    numbers = rng.integers(1, 9, len(cells))
+    table = spark.createDataFrame([(int(c), int(n)) for c, n in zip(cells, numbers)], "cell long, n long").repartition(3)
+    found = ngram_lm.learn_weights_where_they_stand(table, 3, 500, 5)
+    assert np.allclose(found, ngram_lm.learn_weights(cells, numbers, 3, 500, 5), rtol=1e-9)
+
+
+def test_counts_are_packed_without_loss():
+    for values in ([], [0, 1, 127], [128], [2**15], [2**31, 5], [2**40]):
+        assert ngram_lm._unpacked(ngram_lm._packed(np.array(values, dtype=np.int64))).tolist() == values
