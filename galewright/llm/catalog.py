@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, piece_codec, quality, simhash, token_files
+from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, piece_codec, prefix_trie, quality, simhash, token_files
 from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,6 +94,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (part == 1).alias("held_out"), "score", "predicted")
 
 
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations take their first 0 to 5 turns from the first of their hundred, so that prefixes are shared."""
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    conv_id = F.col("conv_id")
+    taken = F.crc32(conv_id.cast("string").cast("binary")) % 6
+    return prefix_trie.prefix_trie(prefix_trie.with_borrowed_starts(turns, conv_id - conv_id % 100, taken))
+
+
+_SQL["op12_prefix_trie"] = prefix_trie.trie_sql()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
