@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, piece_codec, prefix_trie, quality, simhash, token_files
+from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, piece_codec, prefix_trie, quality, simhash, spelling, token_files
 from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,6 +106,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SQL["op12_prefix_trie"] = prefix_trie.trie_sql()
 
 
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.counted_words(table(spark, sf_dir, "documents")))
+
+
+_SQL["op13_spelling_variants"] = spelling.groups_sql()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
