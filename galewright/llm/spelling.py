@@ -26,7 +26,7 @@ from galewright.llm.buckets import dealt, pairs_within, whole_buckets
 from galewright.llm.frames import columns_as, drop_written, map_arrow, materialize
 from galewright.llm.textarrays import Texts, lower_ascii, mixed, ranges, runs, text_slices, word_hashes
 
-LEAST, MOST = 2, 6
+LEAST, MOST = 2, 4
 #: No dictionary has more grams than this, whatever the number of words.
 DICTIONARY = 1 << 19
 #: A gram is split further from this many times the count at which grams are kept.
