@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, piece_codec, prefix_trie, quality, simhash, spelling, token_files
+from galewright.llm import embedding_dedup, language_id, license_scan, line_rules, ngram_lm, packing, piece_codec, prefix_trie, quality, simhash, spelling, substring_dedup, token_files
 from galewright.llm.frames import fresh_path, remainder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,6 +94,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (part == 1).alias("held_out"), "score", "predicted")
 
 
+@_query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @_query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations take their first 0 to 5 turns from the first of their hundred, so that prefixes are shared."""
