@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from galewright.session import materialize
+
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
     """The same rows, failing at run time when a key occurs twice.
@@ -26,14 +28,15 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     """MERGE: update matched rows, insert the others.
 
     A source with all columns replaces whole rows: target rows without a source row, plus the source.
-    The anti join ships only source keys, so a small source never shuffles the target. A source with
-    a subset of the columns updates just those, by one full outer join; columns it lacks are NULL in
+    The source is written once: its key check, the anti join and the inserted rows all read that. The anti
+    join ships only source keys, so a small source never shuffles the target. A source with a subset of the columns updates just those, by one full outer join; columns it lacks are NULL in
     inserted rows.
     """
     keys = list(keys)
     extra = [c for c in source.columns if c not in target.columns]
     if extra:
         raise ValueError(f"source columns {extra} are not in the target")
+    source = materialize(source, "merge-source")
     checked = require_unique(source, keys)
     if set(source.columns) == set(target.columns):
         kept = target.join(source.select(*keys), keys, "left_anti")
@@ -135,7 +138,7 @@ def _lookup_hot_apart(labels: DataFrame, features: DataFrame, key: str, share: f
     return apart.unionByName(rest)
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def require_keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, failing at run time when a key column is NULL."""
     missing = F.lit(False)
     for k in keys:
@@ -145,32 +148,26 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Row-level changes between two versions of a keyed table.
+    """Row-level changes between two versions of a keyed table that kept no changes of its own.
 
-    Emits ``insert``, ``delete``, ``update_preimage`` and ``update_postimage`` rows. One full outer
-    join on the unique key; unchanged rows are dropped before they are emitted. A NULL in the key fails
-    the job, as such rows can't be told apart.
+    Emits ``insert``, ``delete``, ``update_preimage`` and ``update_postimage`` rows. Both versions meet as keys
+    and a digest of the row, so unchanged rows are never shuffled whole; the rows of changed keys are then
+    fetched from either side. A NULL in the key fails the job, as such rows can't be told apart.
     """
     keys = list(keys)
-    before, after = (_keyed(df, keys) for df in (before, after))
+    before, after = (require_keyed(df, keys) for df in (before, after))
     columns = before.columns
     if set(columns) != set(after.columns):
         raise ValueError("both versions need the same columns")
     values = [c for c in columns if c not in keys]
-    old = before.select(*keys, F.struct(*values).alias("_old"))
-    new = after.select(*keys, F.struct(*values).alias("_new"))
-    both = old.join(new, keys, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
-
-    def change(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias("change_type"), F.col(side).alias("row"))
-
-    changes = (
-        F.when(F.col("_old").isNull(), F.array(change("insert", "_new")))
-        .when(F.col("_new").isNull(), F.array(change("delete", "_old")))
-        .otherwise(F.array(change("update_preimage", "_old"), change("update_postimage", "_new")))
-    )
-    exploded = both.select(*keys, F.explode(changes).alias("_change"))
-    return exploded.select(
-        *[F.col(c) if c in keys else F.col("_change.row").getField(c).alias(c) for c in columns],
-        F.col("_change.change_type").alias("change_type"),
+    old, new = (
+        df.select(*keys, F.md5(F.to_json(F.struct(F.lit(0), *values), {"ignoreNullFields": "false"})).alias(name))
+        for df, name in ((before, "_old"), (after, "_new"))
     )
+    changed = old.join(new, keys, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
+    changed = materialize(changed, "changed-keys")
+    was, now = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    gone = before.join(changed.filter(was), keys).withColumn("change_type", F.when(now, "update_preimage").otherwise("delete"))
+    come = after.join(changed.filter(now), keys).withColumn("change_type", F.when(was, "update_postimage").otherwise("insert"))
+    wanted = [*columns, "change_type"]
+    return gone.select(*wanted).unionByName(come.select(*wanted))

@@ -15,6 +15,7 @@ from galewright.plans.registration import CONTACTS, RATIO, SCORED, TIER, share_s
 from galewright.session import fresh_path
 from galewright.sources import readers, sinks
 from galewright.sources.fixtures import contacts, scored_events, table
+from galewright.sources.keyed import BucketedTable
 from galewright.sources.snapshots import SnapshotTable
 
 _NOTED = "target AS (SELECT *, 'original record' AS merge_action_note FROM tier)"
@@ -71,13 +72,34 @@ def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return _merged_table(spark, sf).as_of(0)
 
 
+def _merged_features(spark: SparkSession, sf: str) -> BucketedTable:
+    """The target in buckets, after the merge of corrected and new rows."""
+    target, incoming = merge_sides(spark, sf)
+    features = BucketedTable(spark, fresh_path(spark, "features"), ["contact_key"], buckets=16)
+    features.create(target)
+    features.merge(incoming, "corrections")
+    return features
+
+
 @query("feature_upsert", with_sql(CONTACTS, TIER, MERGE_SIDES) + MERGED_ROWS)
 def feature_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    target, incoming = merge_sides(spark, sf)
-    features = SnapshotTable(spark, fresh_path(spark, "features"))
-    features.upsert(target, ["contact_key"])
-    features.upsert(incoming, ["contact_key"])
-    return features.as_of()
+    return _merged_features(spark, sf).rows()
+
+
+_LATE_CALLS = """late AS (SELECT contact_key, balance - 1 AS balance FROM target WHERE contact_key % 1000 = 7)"""
+
+
+@query(
+    "feature_upsert_columns",
+    with_sql(CONTACTS, TIER, MERGE_SIDES, f"merged AS ({MERGED_ROWS})", _LATE_CALLS)
+    + "SELECT merged.* REPLACE (COALESCE(late.balance, merged.balance) AS balance) FROM merged LEFT JOIN late USING (contact_key)",
+)
+def feature_upsert_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """A second, small merge of one column into the buckets that its keys touch."""
+    features = _merged_features(spark, sf)
+    late = merge_sides(spark, sf)[0].filter(F.col("contact_key") % 1000 == 7)
+    features.merge(late.select("contact_key", (F.col("balance") - 1).alias("balance")), "late")
+    return features.rows()
 
 
 @query(
@@ -91,15 +113,23 @@ def table_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CHANGED = "SELECT contact_key, balance, campaign, merge_action_note"
-
-
-@query(
-    "change_feed",
+_CHANGES = (
     with_sql(CONTACTS, TIER, MERGE_SIDES)
     + f"""{_CHANGED}, 'update_preimage' AS change_type FROM target WHERE contact_key IN (SELECT contact_key FROM incoming)
-      UNION ALL {_CHANGED}, CASE WHEN contact_key < 0 THEN 'insert' ELSE 'update_postimage' END FROM incoming""",
+      UNION ALL {_CHANGED}, CASE WHEN contact_key < 0 THEN 'insert' ELSE 'update_postimage' END FROM incoming"""
 )
+
+
+@query("change_feed", _CHANGES)
 def change_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """What the merge itself wrote."""
+    changes = _merged_features(spark, sf).changes("corrections")
+    return changes.select("contact_key", "balance", "campaign", "merge_action_note", "change_type")
+
+
+@query("change_feed_versions", _CHANGES)
+def change_feed_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of a table that kept no changes."""
     versions = _merged_table(spark, sf)
     changes = joins.change_feed(versions.as_of(0), versions.as_of(1), ["contact_key"])
     return changes.select("contact_key", "balance", "campaign", "merge_action_note", "change_type")

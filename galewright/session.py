@@ -93,6 +93,11 @@ def _delete(spark: SparkSession, path: str) -> bool:
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+
+
 def drop_materialized(spark: SparkSession) -> int:
     """Delete what ``materialize`` wrote in this process, once no result needs it; the number of tables."""
     dropped = 0
