@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galewright.functions.numeric import ratio
@@ -168,6 +168,87 @@ def drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> Da
     return distances(merge_on_category(baseline, current, columns))
 
 
+def ranked_shares(counts: DataFrame, by: Sequence[str], name: str = "baseline_n") -> DataFrame:
+    """Add to counts per (by…, category) the group's total and the category's ``rank``, 1 for the largest.
+
+    Ranks come from one range-partitioned row number over all groups, so a column with very many categories
+    is not sorted in one task. Equal counts rank by category.
+    """
+    ordered = global_row_number(counts.withColumn("_falling", -F.col(name)), [*by, "_falling", "category"], "_row").drop("_falling")
+    totals = ordered.groupBy(*by).agg(F.sum(name).alias("baseline_rows"), F.min("_row").alias("_first"))
+    joined = ordered.join(totals, list(by))
+    return joined.withColumn("rank", F.col("_row") - F.col("_first") + 1).drop("_row", "_first")
+
+
+def distances_of_present(cells: DataFrame, base: DataFrame, groups: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """All drift metrics per group from the cells of categories that the group has.
+
+    ``cells`` has (groups…, category, current_n), ``base`` the ``ranked_shares`` per ``by``, some of the
+    groups' columns. What a category contributes that only the baseline has is known in closed form: p
+    to the sums of gaps and of JS terms, and to chi-squared its baseline count times current_rows / baseline_rows,
+    which adds up over all such categories from what the present ones leave. The largest gap may be such
+    a category's share: the largest share that the group lacks. Shares of rank r are at most 1 / r, so only
+    ranks up to 1 / (largest gap of the present ones) can matter, and the first rank missing there tells it.
+    """
+    totals = base.groupBy(*by).agg(F.any_value("baseline_rows").alias("baseline_rows"), F.count(F.lit(1)).alias("_categories"))
+    known = base.select(*by, "category", "baseline_n", "rank")
+    met = cells.join(totals, list(by), "left").join(known, [*by, "category"], "left")
+    met = met.fillna(0, ["baseline_n", "baseline_rows", "_categories"])
+    current = cells.groupBy(*groups).agg(F.sum("current_n").alias("current_rows"))
+    met = materialize(met.join(current, list(groups)), "drift-cells")
+    p, q = ratio(F.col("baseline_n"), F.col("baseline_rows")), ratio(F.col("current_n"), F.col("current_rows"))
+    middle, gap = (p + q) / 2, F.abs(p - q)
+
+    def information(share: Column) -> Column:
+        return F.when(share > 0, share * F.log2(share / middle)).otherwise(F.lit(0.0))
+
+    both = (F.col("baseline_n") + F.col("current_n")).cast("double")
+    rows = (F.col("baseline_rows") + F.col("current_rows")).cast("double")
+
+    def surprise(seen: str, side: str) -> Column:
+        expected = both * F.col(side) / rows
+        return F.try_divide((F.col(seen) - expected) * (F.col(seen) - expected), expected)
+
+    summed = met.groupBy(*groups, "baseline_rows", "current_rows", "_categories").agg(
+        F.sum("baseline_n").alias("_met"),
+        F.count_if(F.col("baseline_n") > 0).alias("_common"),
+        F.count(F.lit(1)).alias("_present"),
+        F.sum(information(p) + information(q)).alias("_information"),
+        F.sum(gap).alias("_gaps"),
+        F.max(gap).alias("_largest"),
+        F.sum(surprise("baseline_n", "baseline_rows") + surprise("current_n", "current_rows")).alias("_surprise"),
+    )
+    summed = materialize(summed, "drift-sums")
+    absent = (F.col("baseline_rows") - F.col("_met")).cast("double")
+    share = ratio(absent, F.col("baseline_rows"))
+    some = F.col("baseline_rows") > 0
+    metrics = summed.join(_largest_absent(met, summed, base, groups, by), list(groups), "left")
+    metrics = metrics.select(
+        *groups,
+        F.when(some, F.sqrt(F.greatest((F.col("_information") + share) / 2, F.lit(0.0)))).alias("js_distance"),
+        ((F.col("_gaps") + share) / 2).alias("tv_distance"),
+        F.when(some, F.greatest("_largest", F.coalesce("_absent", F.lit(0.0)))).alias("l_infinity"),
+        (F.col("_surprise") + share * F.col("current_rows")).alias("chi_squared"),
+        (F.col("_present") + F.col("_categories") - F.col("_common") - 1).alias("degrees_of_freedom"),
+        "baseline_rows",
+        "current_rows",
+    )
+    ship_package(cells.sparkSession)
+    return metrics.withColumn("chi_squared_pvalue", _chi_squared_tail()(F.col("chi_squared"), F.col("degrees_of_freedom")))
+
+
+def _largest_absent(met: DataFrame, summed: DataFrame, base: DataFrame, groups: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """``_absent``: the largest baseline share that a group lacks, where it can exceed its largest gap."""
+    near = F.col("rank") * F.col("_largest") <= 1.0
+    ranks = met.filter(F.col("rank").isNotNull()).select(*groups, "rank").join(summed.select(*groups, "_largest"), list(groups)).filter(near)
+    order = Window.partitionBy(*groups).orderBy("rank")
+    # The run 1, 2, … of ranks that the group has ends before the first one it lacks.
+    runs = ranks.withColumn("_run", F.col("rank") == F.row_number().over(order)).groupBy(*groups).agg(F.count_if("_run").alias("_has"))
+    first = summed.select(*groups).join(runs, list(groups), "left").withColumn("rank", F.coalesce("_has", F.lit(0)) + 1)
+    shares = base.select(*by, "rank", ratio(F.col("baseline_n"), F.col("baseline_rows")).alias("_absent"))
+    return first.join(shares, [*by, "rank"]).select(*groups, "_absent")
+
+
 def drift_metrics(
     baseline: DataFrame,
     current: DataFrame,
@@ -179,26 +260,19 @@ def drift_metrics(
 ) -> DataFrame:
     """The drift table: each window, model version and slice against the same slice of the baseline.
 
-    Baseline and log are each read once and reduced to counts, which are written; everything after
-    that works on the counts. A category the window lacks still counts: the baseline's categories
-    are joined to every group on (slice, column), a table of groups times categories.
+    Baseline and log are each read once and reduced to counts, which are written; everything after that
+    works on the counts. A group's cells are only the categories it has: those that only the baseline
+    has count in closed form (``distances_of_present``), so nothing grows with groups times categories.
+    A slice that the baseline lacks has NULL distances.
     """
     slice_keys = ["slice_key", "slice_value"]
-    groups = ["window_start", "window_end", model, *slice_keys]
-    base = materialize(category_counts(slice_rows(baseline, slices), columns, slice_keys, "baseline_n"), "drift-baseline")
+    groups = ["window_start", "window_end", model, *slice_keys, "column_name"]
+    by = [*slice_keys, "column_name"]
+    base = ranked_shares(category_counts(slice_rows(baseline, slices), columns, slice_keys, "baseline_n"), by)
     timed = slice_rows(windowed(current, timestamp, granularity), slices)
-    now = materialize(category_counts(timed, columns, groups, "current_n"), "drift-current")
-    seen = now.select(*groups, "column_name").distinct()
-    expected = seen.join(base, [*slice_keys, "column_name"])
-    empty = F.lit(0).cast("bigint")
-    cells = (
-        expected.withColumn("current_n", empty)
-        .unionByName(now.withColumn("baseline_n", empty))
-        .groupBy(*groups, "column_name", "category")
-        .agg(F.sum("baseline_n").alias("baseline_n"), F.sum("current_n").alias("current_n"))
-    )
-    wide = distances(cells, groups)
-    return metric_rows(wide, [*groups, "column_name", "baseline_rows", "current_rows"], DRIFT_METRICS)
+    now = materialize(category_counts(timed, columns, groups[:-1], "current_n"), "drift-current")
+    wide = distances_of_present(now, materialize(base, "drift-baseline"), groups, by)
+    return metric_rows(wide, [*groups, "baseline_rows", "current_rows"], DRIFT_METRICS)
 
 
 def quantile_edges(baseline: DataFrame, column: str, parts: int = 10) -> list:

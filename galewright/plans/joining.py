@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galewright.functions import rules
-from galewright.functions.hashing import weighted_choice
 from galewright.operators import joins
 from galewright.operators.scoring import LinearModel, score_by_key
-from galewright.plans.features import FORCED, updated
+from galewright.plans.features import updated
 from galewright.plans.projecting import tier
 from galewright.plans.registration import CONTACTS, SCORED, TIER, query, with_sql
 from galewright.sources.fixtures import contacts, scored_events, table
@@ -17,17 +16,16 @@ from galewright.sources.fixtures import contacts, scored_events, table
 
 @query(
     "join_inner",
-    with_sql(SCORED, f"control AS (SELECT event_id, {FORCED.replace('AS y_flag', 'AS forced_y_flag').replace('AS prediction', 'AS forced_prediction')} FROM scored WHERE job <> 'view')")
-    + "SELECT event_id, job, balance, forced_y_flag, forced_prediction FROM scored JOIN control USING (event_id)",
+    with_sql(SCORED, "late AS (SELECT user_id, max(value) AS later_value, count(*) AS later_rows FROM events WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' GROUP BY user_id)")
+    + "SELECT event_id, event_type AS job, value AS balance, later_value, later_rows FROM events JOIN late USING (user_id) WHERE ts < TIMESTAMP '2024-01-08 00:00:00'",
 )
 def join_inner(spark: SparkSession, sf: str) -> DataFrame:
-    log = scored_events(spark, sf)
-    control = log.filter(F.col("job") != "view").select(
-        "event_id",
-        weighted_choice("event_id", (1, 0), (8, 2), "label").alias("forced_y_flag"),
-        weighted_choice("event_id", (1, 0), (7, 3), "prediction").alias("forced_prediction"),
-    )
-    return log.select("event_id", "job", "balance").join(control, "event_id", "inner")
+    """Events of the first week whose user came back, with what the later weeks have of that user."""
+    events = table(spark, sf, "events")
+    first_week = F.col("ts") < F.expr("timestamp_ntz'2024-01-08 00:00:00'")
+    later = events.filter(~first_week).groupBy("user_id").agg(F.max("value").alias("later_value"), F.count(F.lit(1)).alias("later_rows"))
+    named = F.col("event_type").alias("job"), F.col("value").alias("balance")
+    return events.filter(first_week).join(later, "user_id", "inner").select("event_id", *named, "later_value", "later_rows")
 
 
 def customer_features(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from galewright.functions.hashing import digest, lowest_share
 from galewright.functions.templates import missed_value_metric
 from galewright.operators import drift, profile
-from galewright.operators.sampling import hash_sample
-from galewright.plans.features import FORCED, forced_rows
 from galewright.plans.quality import (
     ACCURACY, F1, F1_ZERO, LABEL, MODEL, PRECISION, PRECISION_ZERO, PREDICTION, RECALL, RECALL_ZERO, TIME, rounded,
 )
@@ -127,9 +125,10 @@ def column_profile(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(wide, "min_value", "max_value", "mean_value", "stddev_value")
 
 
-# Baseline: the 20 % digest sample of the log. Current: the log a day later with forced labels and predictions.
-_BASE = f"base AS (SELECT * FROM scored WHERE {share_sql('event_id', 42, 0.2)})"
-_NOW = f"now AS (SELECT event_id, inference_timestamp + INTERVAL 1 DAY AS inference_timestamp, job, balance, model_version, {FORCED} FROM scored)"
+# Baseline: the first week of the log. Current: all later weeks.
+_WEEK = "TIMESTAMP '2024-01-08 00:00:00'"
+_BASE = f"base AS (SELECT * FROM scored WHERE inference_timestamp < {_WEEK})"
+_NOW = f"now AS (SELECT * FROM scored WHERE inference_timestamp >= {_WEEK})"
 _DRIFT_COLUMNS = ["job", "y_flag", "prediction"]
 
 
@@ -159,7 +158,8 @@ _MERGED = f"""b AS (SELECT column_name, category, count(*) AS n FROM ({_values('
 
 def _two_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     log = scored_events(spark, sf)
-    return hash_sample(log, "event_id", 0.2), forced_rows(log)
+    first_week = F.col(TIME) < F.expr("timestamp_ntz'2024-01-08 00:00:00'")
+    return log.filter(first_week), log.filter(~first_week)
 
 
 @query(
@@ -206,12 +206,11 @@ def drift_chi2_pvalue(spark: SparkSession, sf: str) -> DataFrame:
 
 _LOG_SLICED = """{name}_sliced AS (SELECT ':all' AS slice_key, ':all' AS slice_value, * FROM {name}
     UNION ALL SELECT 'job', job, * FROM {name} UNION ALL SELECT 'balance >= 100', CAST(balance >= 100 AS VARCHAR), * FROM {name})"""
-_WEEK = "TIMESTAMP '2024-01-08 00:00:00'"
 _WINDOW_KEYS = "window_start, window_end, model_version, slice_key, slice_value"
 _WINDOWED_DRIFT = with_sql(
     SCORED,
-    f"base AS (SELECT * FROM scored WHERE inference_timestamp < {_WEEK})",
-    f"now AS (SELECT * FROM scored WHERE inference_timestamp >= {_WEEK})",
+    _BASE,
+    _NOW,
     _LOG_SLICED.format(name="base"),
     _LOG_SLICED.format(name="now"),
     f"""b AS (SELECT slice_key, slice_value, column_name, category, count(*) AS n FROM (
@@ -236,9 +235,7 @@ _WINDOWED_DRIFT = with_sql(
     ),
 )
 def drift_windows(spark: SparkSession, sf: str) -> DataFrame:
-    log = scored_events(spark, sf)
-    first_week = F.col(TIME) < F.expr("timestamp_ntz'2024-01-08 00:00:00'")
-    rows = drift.drift_metrics(log.filter(first_week), log.filter(~first_week), _DRIFT_COLUMNS, TIME, MODEL, _SLICES)
+    rows = drift.drift_metrics(*_two_sides(spark, sf), _DRIFT_COLUMNS, TIME, MODEL, _SLICES)
     return rounded(rows, "value")
 
 

@@ -11,7 +11,7 @@ from galewright.plans.registration import SCORED, query, with_sql
 from galewright.session import fresh_path
 from galewright.sources.fixtures import as_scored, scored_events, table
 from galewright.sources.snapshots import SnapshotTable
-from galewright.streaming import log
+from galewright.streaming import log, newest
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,11 +61,13 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     + "SELECT event_id, job, prediction, CASE WHEN job = 'click' THEN 1 - y_flag ELSE y_flag END AS y_flag FROM scored",
 )
 def stream_label_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    logged = SnapshotTable(spark, fresh_path(spark, "logged"))
-    logged.overwrite(scored_events(spark, sf).select("event_id", "job", "prediction", "y_flag"))
-    late = as_scored(_events(spark, sf)).filter(F.col("job") == "click").select("event_id", (1 - F.col("y_flag")).alias("y_flag"))
-    log.run_available(late, log.backfill_sink(logged, ["event_id"], ["y_flag"], "late-labels"), fresh_path(spark, "stream"))
-    return logged.as_of()
+    """The log stays as it was written; labels arrive beside it and meet it when it is read."""
+    logged = scored_events(spark, sf).select("event_id", "job", "prediction", "y_flag")
+    late = as_scored(_events(spark, sf)).filter(F.col("job") == "click").select("event_id", (1 - F.col("y_flag")).alias("y_flag"), TIME)
+    path = fresh_path(spark, "late-labels")
+    newest.append_newest(late, path, fresh_path(spark, "stream"), ["event_id"], TIME)
+    labels = newest.newest(spark, path, late.schema, ["event_id"], TIME)
+    return newest.with_late(logged, labels, ["event_id"], ["y_flag"])
 
 
 @query(
@@ -75,7 +77,7 @@ def stream_label_backfill(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_feature_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """The newest value per user and event type."""
-    features = SnapshotTable(spark, fresh_path(spark, "newest"))
     arriving = _events(spark, sf).select("user_id", "event_type", "ts", "value")
-    log.run_available(arriving, log.upsert_sink(features, ["user_id", "event_type"], "newest", newest_by="ts"), fresh_path(spark, "stream"))
-    return features.as_of()
+    path = fresh_path(spark, "newest")
+    newest.append_newest(arriving, path, fresh_path(spark, "stream"), ["user_id", "event_type"], "ts")
+    return newest.newest(spark, path, arriving.schema, ["user_id", "event_type"], "ts")
