@@ -3,9 +3,13 @@
 A text's subwords are the byte n-grams of its letters, word bounds included, hashed into a fixed number
 of rows. Their embeddings are averaged and a linear layer gives the languages' logits, as in fastText.
 Embeddings and layer are trained by stochastic gradient descent in numpy. Held-out training texts
-give a temperature that calibrates the probabilities, and a text whose best calibrated probability
-is below ``reject_below`` is rejected. There is no bias: a text of subwords that training never met
-has equal probabilities, and so is rejected.
+give a temperature that calibrates the probabilities.
+
+Probabilities compare the learned languages with each other and can't tell that a text is in none of them.
+So the model also remembers which subwords training met, and learns on held-out segments what share of
+their subwords is known: of its own language's segments, and of each language's when that language is
+left out. The threshold lies between the two. A text whose share is surely below it is rejected, and its score
+falls with the share; so is a text whose best probability is below ``reject_below``.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galewright.llm.frames import bounded_sample, columns_as, filter_texts, map_arrow
-from galewright.llm.textarrays import Texts, add_up, lower_ascii, mixed, text_slices
+from galewright.llm.textarrays import Texts, add_up, lower_ascii, mixed, sums, text_slices
 
 UNKNOWN = "und"
 
@@ -39,6 +43,10 @@ class LanguageSettings:
     rate: float = 1.0
     held_out_in: int = 5
     reject_below: float = 0.4
+    #: Share of learned languages' held-out segments that may fall below the known share's threshold.
+    lost: float = 0.002
+    #: A text's known share counts with so many standard deviations in its favour.
+    doubt: float = 3.0
 
 
 @dataclass
@@ -47,6 +55,8 @@ class LanguageModel:
     embedding: np.ndarray
     layer: np.ndarray
     temperature: float
+    known: np.ndarray
+    least_known: float
     settings: LanguageSettings
 
     def logits_by_bucket(self) -> np.ndarray:
@@ -73,7 +83,7 @@ def letters_only(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def subwords(letters: np.ndarray, settings: LanguageSettings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each size, the buckets of all n-grams without a blank inside and their ascending positions."""
+    """For each size, the hashes of all n-grams without a blank inside and their ascending positions."""
     inner = letters != 0x20
     value = letters.astype(np.uint64)
     whole = np.ones(len(letters), dtype=bool)  # no blank after the first byte and before the last
@@ -84,18 +94,46 @@ def subwords(letters: np.ndarray, settings: LanguageSettings) -> Iterator[tuple[
         value = value[:n] | (letters[size - 1 :].astype(np.uint64) << np.uint64(8 * (size - 1)))
         if size in settings.sizes:
             at = np.flatnonzero(whole[:n] & (inner[:n] | inner[size - 1 :]) if size == 2 else whole[:n])
-            hashed = mixed(value[at] + np.uint64(size << 56))
-            yield (hashed % np.uint64(settings.buckets)).astype(np.int64), at
+            yield mixed(value[at] + np.uint64(size << 56)), at
+
+
+def buckets_of(hashed: np.ndarray, settings: LanguageSettings) -> np.ndarray:
+    return (hashed % np.uint64(settings.buckets)).astype(np.int64)
+
+
+def remembered(hashes: np.ndarray) -> np.ndarray:
+    """A set of hashes as bits, 32 or more for each; one in 32 others passes for a member."""
+    hashes = np.unique(hashes)
+    size = 1 << max(16, (32 * len(hashes) - 1).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(hashes % np.uint64(size)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little")
+
+
+def is_remembered(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes % np.uint64(8 * len(known))).astype(np.int64)
+    return (known[at >> 3] >> (at & 7).astype(np.uint8)) & 1
 
 
-def mean_logits(texts: Texts, by_bucket: np.ndarray, settings: LanguageSettings) -> tuple[np.ndarray, np.ndarray]:
-    """Mean of the subwords' logits for every text, and whether it has a letter."""
+def surely_at_most(seen: np.ndarray, of: np.ndarray, doubt: float) -> np.ndarray:
+    """Wilson's upper bound of a share: few subwords leave much room."""
+    n = np.maximum(of, 1)
+    share, room = seen / n, doubt * doubt / n
+    return (share + room / 2 + doubt * np.sqrt(share * (1 - share) / n + room / (4 * n))) / (1 + room)
+
+
+def mean_logits(texts: Texts, by_bucket: np.ndarray, known: np.ndarray, settings: LanguageSettings) -> tuple[np.ndarray, ...]:
+    """For every text the mean of its subwords' logits, whether it has a letter, and how many of its
+    longest subwords are known, of how many."""
     letters, begin = letters_only(texts)
     total, count = np.zeros((len(texts), by_bucket.shape[1])), np.zeros(len(texts), dtype=np.int64)
-    for bucket, place in subwords(letters, settings):
+    seen, of = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
+    for size, (hashed, place) in zip(sorted(settings.sizes), subwords(letters, settings)):
         first = np.searchsorted(place, begin)
-        total += add_up(by_bucket[bucket], first)
+        total += add_up(by_bucket[buckets_of(hashed, settings)], first)
         count += np.diff(first)
+        if size == max(settings.sizes):
+            seen, of = sums(is_remembered(known, hashed), first), np.diff(first)
     has = count > 0
     # Bytes above ASCII may be no letters; ask only where no ASCII letter settles it.
     plain = np.zeros(len(letters) + 1, dtype=np.int64)
@@ -103,7 +141,7 @@ def mean_logits(texts: Texts, by_bucket: np.ndarray, settings: LanguageSettings)
     for i in np.flatnonzero(has & (plain[begin[1:]] == plain[begin[:-1]])):
         raw = texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes().decode()
         has[i] = any(c.isalpha() for c in raw)
-    return total / np.maximum(count, 1)[:, None], has
+    return total / np.maximum(count, 1)[:, None], has, seen, of
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -118,21 +156,22 @@ def train(texts: list[str], labels: list[str], digests: np.ndarray, settings: La
     rng = np.random.default_rng(11)
     embedding = np.zeros((settings.buckets, settings.dimension))
     layer = rng.normal(0, 1 / np.sqrt(settings.dimension), (settings.dimension, len(languages)))
-    examples: dict[bool, list[tuple[np.ndarray, np.ndarray, int]]] = {False: [], True: []}
+    examples: dict[bool, list[tuple[np.ndarray, np.ndarray, int, np.ndarray]]] = {False: [], True: []}
     for i in np.argsort(digests, kind="stable"):
         held = bool(digests[i] % settings.held_out_in == 0)
         for segment in _segments(texts[i], settings.segment_words):
             column = pa.array([segment])
             for one in text_slices(column):
-                bucket = np.concatenate([b for b, _ in subwords(letters_only(one)[0], settings)])
+                hashed = [h for h, _ in subwords(letters_only(one)[0], settings)]
+            bucket = buckets_of(np.concatenate(hashed), settings)
             if len(bucket):
                 ids, counts = np.unique(bucket, return_counts=True)
-                examples[held].append((ids, counts / counts.sum(), code[labels[i]]))
+                examples[held].append((ids, counts / counts.sum(), code[labels[i]], hashed[-1]))
     fit, check = examples[False] or examples[True], examples[True] or examples[False]
     steps, done = settings.epochs * len(fit), 0
     for _ in range(settings.epochs):
         for k in rng.permutation(len(fit)):
-            ids, share, target = fit[k]
+            ids, share, target, _ = fit[k]
             rate = settings.rate * (1 - done / steps)
             done += 1
             rows = embedding[ids]
@@ -143,13 +182,36 @@ def train(texts: list[str], labels: list[str], digests: np.ndarray, settings: La
             layer -= rate * np.outer(mean, error)
             # A subword's step is not divided by the text's length, as in fastText.
             embedding[ids] = rows - rate * np.minimum(share * len(ids), 1.0)[:, None] * back * 0.1
-    logits = np.array([share @ embedding[ids] @ layer for ids, share, _ in check]).reshape(-1, len(languages))
-    target = np.array([t for *_, t in check], dtype=np.int64)
+    logits = np.array([share @ embedding[ids] @ layer for ids, share, *_ in check]).reshape(-1, len(languages))
+    target = np.array([t for _, _, t, _ in check], dtype=np.int64)
     def loss(temperature: float) -> float:
         return float(-np.log(_softmax(logits / temperature)[np.arange(len(target)), target] + 1e-12).mean())
     grid = np.geomspace(0.02, 20, 61)
     temperature = float(min(grid, key=loss)) if len(target) else 1.0
-    return LanguageModel(languages, embedding.astype(np.float32), layer, temperature, settings)
+    known, least = _familiar(fit, check, len(languages), settings)
+    return LanguageModel(languages, embedding.astype(np.float32), layer, temperature, known, least, settings)
+
+
+def _familiar(fit: list, check: list, languages: int, settings: LanguageSettings) -> tuple[np.ndarray, float]:
+    """The subwords met in training, and the least known share of a text in a learned language.
+
+    With a single language there is nothing to leave out, and only its own segments set the threshold.
+    """
+    none = np.zeros(0, dtype=np.uint64)
+    met = [np.unique(np.concatenate([none, *(h for *_, t, h in fit if t == k)])) for k in range(languages)]
+    everywhere, times = np.unique(np.concatenate([none, *met]), return_counts=True)
+    own, foreign = [], []
+    for *_, target, hashed in check:
+        if not len(hashed):
+            continue
+        at = np.minimum(np.searchsorted(everywhere, hashed), max(len(everywhere) - 1, 0))
+        count = np.where(everywhere[at] == hashed, times[at], 0) if len(everywhere) else np.zeros(len(hashed), np.int64)
+        left = count - np.isin(hashed, met[target])
+        for shares, n in ((own, (count > 0).sum()), (foreign, (left > 0).sum())):
+            shares.append(float(surely_at_most(n, np.array(len(hashed)), settings.doubt)))
+    low = float(np.quantile(own, settings.lost)) if own else 0.0
+    high = float(np.quantile(foreign, 0.5)) if foreign and languages > 1 else low
+    return remembered(everywhere), min(low, (2 * low + high) / 3)
 
 
 def _segments(text: str, lengths: tuple[int, ...]) -> Iterator[str]:
@@ -184,9 +246,10 @@ def fit(labelled: DataFrame, settings: LanguageSettings = LanguageSettings(), do
 def identify(docs: DataFrame, model: LanguageModel | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` of every row; only the two named columns are read.
 
-    ``score`` is the calibrated probability of the predicted language. NULL texts and texts without a
-    letter are ``und`` with score 0, and rejected; so is everything without a model. Other texts are
-    rejected below ``reject_below``. Equal texts score equally; ties go to the first language by name.
+    ``score`` is the calibrated probability of the predicted language, lowered where fewer subwords are known
+    than in any learned language. NULL texts and texts without a letter are ``und`` with score 0, and
+    rejected; so is everything without a model. Other texts are rejected below ``reject_below``, or where their
+    known share is surely below the learned threshold. Equal texts score equally; ties go to the first language by name.
     """
     shared = _shared(docs, model)
 
@@ -212,7 +275,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None, text: str = "t
 
 def _shared(docs: DataFrame, model: LanguageModel | None) -> Broadcast:
     """The model for the workers: a row of logits for each bucket, whatever the corpus holds."""
-    parts = model and (model.logits_by_bucket(), model.temperature, model.languages, model.settings)
+    parts = model and (model.logits_by_bucket(), model.temperature, model.known, model.least_known, model.languages, model.settings)
     return docs.sparkSession.sparkContext.broadcast(parts)
 
 
@@ -221,9 +284,11 @@ def _verdicts(texts: Texts, parts: tuple | None) -> tuple[np.ndarray, np.ndarray
     n = len(texts)
     if not parts:
         return np.full(n, UNKNOWN, dtype=object), np.zeros(n), np.ones(n, dtype=bool)
-    by_bucket, temperature, languages, settings = parts
-    logits, has = mean_logits(texts, by_bucket, settings)
+    by_bucket, temperature, known, least, languages, settings = parts
+    logits, has, seen, of = mean_logits(texts, by_bucket, known, settings)
     probability = _softmax(logits / temperature)
     names = np.where(has, np.array(languages, dtype=object)[probability.argmax(axis=1)], UNKNOWN)
-    score = np.where(has, probability.max(axis=1), 0.0)
-    return names, score, score < settings.reject_below
+    share = np.where(of > 0, surely_at_most(seen, of, settings.doubt), 1.0)  # one or two letters tell nothing
+    best = probability.max(axis=1)
+    score = np.where(has, best * np.minimum(1.0, share / max(least, 1e-9)), 0.0)
+    return names, score, ~has | (best < settings.reject_below) | (share < least)

@@ -264,16 +264,30 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, block: int
     return found.join(of_class, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """The documents without near-duplicates: of each group, the one with the smallest doc_id.
+def keep_one(docs: DataFrame, width: int = 3, radius: int = 3, block: int = 2048) -> DataFrame:
+    """The documents without near-duplicates: one row of each group, all columns as they are.
 
-    Of repeated rows with that doc_id one stays. Rows without doc_id stay, as nothing names them.
+    It is the row with the smallest doc_id, a row without doc_id only where the group has none; ties go to
+    the smallest fingerprint, then to a digest of id and text. So unrelated texts that share a doc_id both
+    stay, copies without doc_id become one, and of rows equal in doc_id and text any one stays. NULL texts
+    and texts without words are one group. An empty table stays empty.
     """
-    found = near_duplicates(docs, width, radius)
-    heads = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("copies"))
-    heads = materialize(heads, "kept")
+    row = "row_digest"
+    while row in docs.columns:
+        row += "_"
+    marked = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    found = materialize(fingerprints(marked, width, row, "text").withColumnRenamed("doc_id", "row").distinct(), "fingerprints")
+    classes = materialize(found.select("fp").distinct(), "classes")
+    plan = allocate(*bit_statistics(classes), radius)
+    linked = materialize(components(_links(materialize(_keys(classes, plan), "keys"), radius, block)), "components")
+    group = F.coalesce("component", "fp").alias("group")
+    grouped = found.join(linked, found.fp == linked.node, "left").select("row", "fp", group)
+    ids = marked.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id")).distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "fp", "row")).getField("row").alias(row)
+    heads = grouped.join(ids, "row").groupBy("group").agg(first).select(row)
+    copies = marked.groupBy(row).agg(F.count("*").alias("copies"))
+    heads = materialize(heads.join(copies, row), "kept")
     # The heads grow with the documents: both sides are shuffled, at every size alike, and only once.
-    once, more = (heads.where(w).select("doc_id").hint("merge") for w in ("copies = 1", "copies > 1"))
-    repeated = docs.join(more, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    once = docs.join(once, "doc_id", "left_semi")
-    return once.unionByName(repeated).unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    once, more = (heads.where(w).select(row).hint("merge") for w in ("copies = 1", "copies > 1"))
+    repeated = marked.join(more, row, "left_semi").dropDuplicates([row])
+    return marked.join(once, row, "left_semi").unionByName(repeated).select(*docs.columns)
