@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galewright.functions.numeric import half_up
-from galewright.operators import prepare, sampling, training
+from galewright.operators import importance, newton, prepare, sampling, training
 from galewright.operators.scoring import LinearModel, batch_score as score_batches, score_linear as score_expressions
 from galewright.plans.projecting import tier
 from galewright.plans.quality import rounded
@@ -154,21 +153,67 @@ def parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {n: split.filter(F.col("split") == n).drop("split") for n in ("train", "validation", "test")}
 
 
-def _fit_and_measure(spark: SparkSession, sf: str, classifier) -> DataFrame:
+_DRIVE = "duration + campaign * 40 + CASE WHEN housing = 'no' THEN 120 ELSE 0 END"
+_WITH_SIGNAL = f"labelled AS (SELECT *, CASE WHEN {_DRIVE} + balance / CAST(20 AS DOUBLE) > 560 THEN 1 ELSE 0 END AS label FROM tier)"
+# The training part: all but the first fifth of each class in digest order.
+_TRAINED = f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {digest_sql('contact_key', 42)}, contact_key) AS r, count(*) OVER (PARTITION BY label) AS n FROM labelled),
+trained AS (SELECT * FROM numbered WHERE r > ceil(n * 20 / 100.0)),
+weighed AS (SELECT *, CAST(label AS DOUBLE) * count(*) OVER () / (2 * sum(label) OVER ()) AS wy FROM trained)"""
+_LABEL_SUMS = " UNION ALL ".join(
+    [
+        "SELECT '(intercept)' AS feature, ROUND(sum(wy), 3) AS fitted FROM weighed",
+        *[f"SELECT concat('{c}=', {c}), ROUND(sum(wy), 3) FROM weighed GROUP BY {c}" for c in _CATEGORICAL],
+        *[f"SELECT '{c}', ROUND(sum(wy * z), 3) FROM (SELECT wy, ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z FROM weighed)" for c in _NUMERIC],
+    ]
+)
+
+
+@query("train_logistic", with_sql(CONTACTS, TIER, _WITH_SIGNAL, _TRAINED) + _LABEL_SUMS)
+def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
+    """The score equations of the fitted model: at the optimum each feature's sum equals that of the labels."""
     p = parts(spark, sf)
     train = p["train"].unionByName(p["validation"])
-    model = training.fit_model(train, "label", _CATEGORICAL, _NUMERIC, classifier(train))
-    return rounded(training.evaluate(training.apply_model(model, p["test"], _NUMERIC), "label", "test_"), "value")
+    design = newton.Design.fitted(train, _CATEGORICAL, _NUMERIC)
+    rows = newton.design_rows(train, design, "label")
+    model = newton.fit_many(rows, design, [1.0])[0]
+    return newton.score_equations(model, rows, 1.0).withColumn("fitted", half_up("fitted", 3))
 
 
-@query("train_logistic")
-def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_and_measure(spark, sf, lambda train: training.logistic("label", train.count()))
+def _floor_sql(part: str, name: str) -> str:
+    """Rows and positives of a part, and the weighted F1 of guessing its larger class."""
+    return f"""{name} AS (SELECT count(*) AS row_count, CAST(sum(label) AS BIGINT) AS positives,
+      2 * power(greatest(sum(label), count(*) - sum(label)), 2) / (count(*) * CAST(count(*) + greatest(sum(label), count(*) - sum(label)) AS DOUBLE)) AS majority_f1 FROM {part})"""
+
+
+_PARTS = f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {digest_sql('contact_key', 42)}, contact_key) AS r, count(*) OVER (PARTITION BY label) AS n FROM labelled),
+test AS (SELECT * FROM numbered WHERE r <= ceil(n * 20 / 100.0)),
+rest AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {digest_sql('contact_key', '42-inner')}, contact_key) AS ri, count(*) OVER (PARTITION BY label) AS ni FROM numbered WHERE r > ceil(n * 20 / 100.0)),
+validation AS (SELECT * FROM rest WHERE ri <= ceil(ni * 33 / 100.0))"""
+
 
+def _against_majority(part: DataFrame, weighted_f1: float) -> DataFrame:
+    """A part's size, what guessing its larger class scores there, and whether the model beats that."""
+    larger = F.greatest("positives", F.col("row_count") - F.col("positives"))
+    counts = part.agg(F.count(F.lit(1)).alias("row_count"), F.sum("label").alias("positives"))
+    floor = 2 * larger * larger / (F.col("row_count") * (F.col("row_count") + larger).cast("double"))
+    return counts.withColumn("majority_f1", half_up(floor)).withColumn("beats_majority", F.lit(weighted_f1) > floor)
 
-@query("train_forest")
+
+def _metric(rows: DataFrame, name: str) -> float:
+    return rows.filter(F.col("metric") == name).first()["value"]
+
+
+_FLOOR_COLUMNS = "row_count, positives, ROUND(majority_f1, 6) AS majority_f1, TRUE AS beats_majority"
+
+
+@query("train_forest", with_sql(CONTACTS, TIER, _WITH_SIGNAL, _PARTS, _floor_sql("test", "f")) + f"SELECT {_FLOOR_COLUMNS} FROM f")
 def train_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_and_measure(spark, sf, lambda train: training.forest("label"))
+    """The forest on the test part, against guessing the larger class."""
+    p = parts(spark, sf)
+    train = p["train"].unionByName(p["validation"])
+    model = training.fit_model(train, "label", _CATEGORICAL, _NUMERIC, training.forest("label"))
+    found = training.evaluate(training.apply_model(model, p["test"], _NUMERIC), "label", "test_")
+    return _against_majority(p["test"], _metric(found, "test_weighted_f1"))
 
 
 _TUNED: dict[tuple[str, str], training.TuningResult] = {}
@@ -182,30 +227,73 @@ def _tuned(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], training
     return p, _TUNED[key]
 
 
-@query("tune_model")
+@query(
+    "tune_model",
+    with_sql(CONTACTS, TIER, _WITH_SIGNAL, _PARTS, _floor_sql("validation", "f"))
+    + f"SELECT CAST(20 AS BIGINT) AS trials, CAST(20 AS BIGINT) AS ranked, {_FLOOR_COLUMNS} FROM f",
+)
 def tune_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _tuned(spark, sf)[1].table
+    """All trials are ranked; the best is held against guessing the larger class of the validation part."""
+    p, result = _tuned(spark, sf)
+    row = result.table.agg(F.count(F.lit(1)).alias("trials"), F.count("weighted_f1").alias("ranked"), F.max("weighted_f1").alias("best")).first()
+    found = _against_majority(p["validation"], row["best"])
+    return found.select(F.lit(row["trials"]).cast("bigint").alias("trials"), F.lit(row["ranked"]).cast("bigint").alias("ranked"), "*")
 
 
-@query("refit_best")
+@query(
+    "refit_best",
+    with_sql(CONTACTS, TIER, _WITH_SIGNAL, _PARTS, _floor_sql("rest", "f"), _floor_sql("test", "g"))
+    + f"SELECT 'training_weighted_f1' AS metric, {_FLOOR_COLUMNS} FROM f UNION ALL SELECT 'test_weighted_f1', {_FLOOR_COLUMNS} FROM g",
+)
 def refit_best(spark: SparkSession, sf: str) -> DataFrame:
+    """The best trial fitted again on training and validation rows, on these and on the test part."""
     p, result = _tuned(spark, sf)
     train = p["train"].unionByName(p["validation"])
-    return training.refit_best(result.best, train, p["test"], "label", _CATEGORICAL, _NUMERIC)[1]
+    found = materialize(training.refit_best(result.best, train, p["test"], "label", _CATEGORICAL, _NUMERIC)[1], "refit")
+    sides = [
+        _against_majority(part, _metric(found, name)).select(F.lit(name).alias("metric"), "*")
+        for part, name in ((train, "training_weighted_f1"), (p["test"], "test_weighted_f1"))
+    ]
+    return sides[0].unionByName(sides[1])
 
 
-def _forest(spark: SparkSession, sf: str) -> tuple[PipelineModel, DataFrame]:
-    """A forest fitted on the training part, and the scored test part."""
-    p = parts(spark, sf)
-    model = training.fit_model(p["train"].unionByName(p["validation"]), "label", _CATEGORICAL, _NUMERIC, training.forest("label"))
-    return model, training.apply_model(model, p["test"], _NUMERIC)
+_PERMUTED = {"balance": "balance", "duration": "duration", "campaign": "campaign", "housing": "housing", "job": "job"}
+_VERSIONS = ", ".join(f"CASE WHEN column_name = '{c}' THEN next_{c} ELSE {c} END AS {c}" for c in _PERMUTED)
+_NEXT = ", ".join(f"COALESCE(lead({c}) OVER w, first_value({c}) OVER w) AS next_{c}" for c in _PERMUTED)
 
 
-@query("top_importances")
+@query(
+    "top_importances",
+    with_sql(
+        CONTACTS,
+        "flagged AS (SELECT *, CASE WHEN y = 'yes' THEN 1 ELSE 0 END AS y_flag FROM contacts)",
+        f"given AS (SELECT *, {_NEXT} FROM flagged WINDOW w AS (ORDER BY {digest_sql('contact_key', 42)}, contact_key))",
+        f"versions AS (SELECT column_name, y_flag, {_VERSIONS} FROM given CROSS JOIN (VALUES (':none'), {', '.join(f'({c!r})' for c in _PERMUTED)}) v(column_name))",
+        f"scored AS (SELECT column_name, y_flag, CAST({_CONTACT_SCORE} >= 0.5 AS INT) AS prediction FROM versions)",
+        """cells AS (SELECT column_name, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (y_flag = 1 AND prediction = 1) AS DOUBLE) AS tp, CAST(count(*) FILTER (y_flag = 0 AND prediction = 1) AS DOUBLE) AS fp,
+      CAST(count(*) FILTER (y_flag = 1 AND prediction = 0) AS DOUBLE) AS fn, CAST(count(*) FILTER (y_flag = 0 AND prediction = 0) AS DOUBLE) AS tn FROM scored GROUP BY column_name)""",
+        "f1s AS (SELECT column_name, (COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0) * (tp + fn) + COALESCE(2 * tn / NULLIF(2 * tn + fp + fn, 0), 0) * (tn + fp)) / n AS weighted_f1 FROM cells)",
+    )
+    + """SELECT column_name, ROUND(weighted_f1, 6) AS weighted_f1, ROUND((SELECT weighted_f1 FROM f1s WHERE column_name = ':none') - weighted_f1, 6) AS importance
+      FROM f1s WHERE column_name <> ':none' ORDER BY importance DESC, column_name LIMIT 3""",
+)
 def top_importances(spark: SparkSession, sf: str) -> DataFrame:
-    return training.top_importances(*_forest(spark, sf), 15)
+    """The three columns whose exchange costs the contact model most of its weighted F1."""
+    model = contact_model()
+    rows = contacts(spark, sf).withColumn("y_flag", F.when(F.col("y") == "yes", 1).otherwise(0))
+    found = importance.permutation_importance(rows, "contact_key", "y_flag", list(_PERMUTED), lambda df: score_expressions(df, model))
+    named = rounded(found, "weighted_f1", "importance")
+    return named.orderBy(F.col("importance").desc(), "column_name").limit(3)
 
 
-@query("batch_score_forest")
+@query(
+    "batch_score_forest",
+    with_sql(CONTACTS, TIER, _WITH_SIGNAL, _PARTS) + "SELECT contact_key, label, TRUE AS score_decides FROM test",
+)
 def batch_score_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _forest(spark, sf)[1].select("contact_key", "label", "prediction", "score")
+    """Every row of the test part is scored, and its prediction is what its probability says."""
+    p = parts(spark, sf)
+    model = training.fit_model(p["train"].unionByName(p["validation"]), "label", _CATEGORICAL, _NUMERIC, training.forest("label"))
+    scored = training.apply_model(model, p["test"], _NUMERIC)
+    decided = F.col("score").between(0, 1) & ((F.col("prediction") == 1) == (F.col("score") > 0.5))
+    return scored.select("contact_key", "label", decided.alias("score_decides"))
