@@ -12,7 +12,8 @@ from galewright.plans.quality import (
     ACCURACY, F1, F1_ZERO, LABEL, MODEL, PRECISION, PRECISION_ZERO, PREDICTION, RECALL, RECALL_ZERO, TIME, rounded,
 )
 from galewright.plans.registration import CONTACTS, SCORED, share_sql, query, with_sql
-from galewright.sources.fixtures import contacts, scored_events, table
+from galewright.session import materialize
+from galewright.sources.fixtures import SCORED_COLUMNS, contacts, table, scored_events
 
 _SLICES = ["job", "balance >= 100"]
 _SLICED = """sliced AS (SELECT date_trunc('day', inference_timestamp) AS window_start, * FROM (
@@ -99,6 +100,30 @@ def slice_exploded(spark: SparkSession, sf: str) -> DataFrame:
     return _slices(spark, sf)
 
 
+_SEEN = ["user_id", "job", "balance"]
+
+
+@query(
+    "distinct_from_days",
+    with_sql(
+        SCORED.replace("FROM events", ", user_id FROM events"),
+        _SLICED,
+    )
+    + " UNION ALL ".join(
+        f"SELECT model_version, slice_key, slice_value, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM sliced "
+        f"WHERE window_start >= TIMESTAMP '2024-01-08 00:00:00' GROUP BY ALL"
+        for c in _SEEN
+    ),
+)
+def distinct_from_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct values of all days from the second week on, from the sketches kept for each day."""
+    named = [F.expr(e).alias(n) for n, e in SCORED_COLUMNS.items()]
+    log = table(spark, sf, "events").select(*named, "user_id")
+    kept = materialize(profile.daily_sketches(log, TIME, MODEL, _SEEN, _SLICES), "sketches")
+    late = kept.filter(F.col("window_start") >= F.expr("timestamp_ntz'2024-01-08 00:00:00'"))
+    return profile.merged_distinct(late, [MODEL, "slice_key", "slice_value"])
+
+
 def _slices(spark: SparkSession, sf: str) -> DataFrame:
     aggregates = [F.count(F.lit(1)).alias("row_count"), F.avg("balance").alias("avg_balance")]
     grouped = profile.sliced_agg(scored_events(spark, sf), [MODEL], _SLICES, aggregates)

@@ -192,6 +192,36 @@ def segment_gate(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(judged, "champion_f1", "candidate_f1", "required_f1")
 
 
+_WEIGHT = " + ".join(f"CAST(share >= {v} AS INT)" for v in registry._POISSON)
+
+
+@query(
+    "segment_gain_bounds",
+    with_sql(
+        "seg AS (SELECT event_id, event_type AS segment, 1 + user_id % 2 AS model_version, user_id % 3 = 0 AS y, value >= 40 AS p FROM events)",
+        "drawn AS (SELECT *, CASE WHEN replica = 0 THEN 0 ELSE CAST(concat('0x', substr(md5(concat(event_id, '|', replica)), 1, 8)) AS BIGINT) END AS share FROM seg, range(41) r(replica))",
+        f"each AS (SELECT *, CASE WHEN replica = 0 THEN 1 ELSE {_WEIGHT} END AS n FROM drawn)",
+        """f AS (SELECT segment, replica, model_version, COALESCE(2 * sum(n) FILTER (y AND p) / NULLIF(CAST(COALESCE(sum(n) FILTER (p), 0) + COALESCE(sum(n) FILTER (y), 0) AS DOUBLE), 0), 0) AS f1
+      FROM each GROUP BY ALL)""",
+        "g AS (SELECT segment, replica, max(f1) FILTER (model_version = 1) AS champion_f1, max(f1) FILTER (model_version = 2) AS candidate_f1 FROM f GROUP BY ALL)",
+    )
+    + """SELECT segment, ROUND(max(champion_f1) FILTER (replica = 0), 6) AS champion_f1, ROUND(max(candidate_f1) FILTER (replica = 0), 6) AS candidate_f1,
+      ROUND(max(candidate_f1 - champion_f1) FILTER (replica = 0), 6) AS gain,
+      ROUND((list(candidate_f1 - champion_f1 ORDER BY candidate_f1 - champion_f1) FILTER (replica > 0))[2], 6) AS gain_low FROM g GROUP BY segment""",
+)
+def segment_gain_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate's gain per segment with the lower end of its bootstrap interval."""
+    log = table(spark, sf, "events").select(
+        "event_id",
+        F.col("event_type").alias("segment"),
+        (1 + F.col("user_id") % 2).alias("model_version"),
+        F.expr("CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END").alias("y_flag"),
+        F.expr("CASE WHEN value >= 40 THEN 1 ELSE 0 END").alias("prediction"),
+    )
+    found = registry.segment_gain_bounds(log, "event_id", "segment", "model_version", 1, 2, LABEL, PREDICTION)
+    return rounded(found, "champion_f1", "candidate_f1", "gain", "gain_low")
+
+
 _RULE = "CASE WHEN duration + campaign * 10 > 200 + 20 * {version} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction"
 
 

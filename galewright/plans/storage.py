@@ -12,7 +12,7 @@ from galewright.plans.joining import MERGE_SIDES, MERGED_ROWS, merge_sides
 from galewright.plans.projecting import tier
 from galewright.plans.registration import CONTACTS, RATIO, SCORED, TIER, share_sql, digest_sql, query, with_sql
 from galewright.session import fresh_path
-from galewright.sources import readers, sinks
+from galewright.sources import inference, readers, sinks
 from galewright.sources.fixtures import contacts, scored_events, table
 from galewright.sources.keyed import BucketedTable
 from galewright.sources.snapshots import SnapshotTable
@@ -28,6 +28,41 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_delimited(spark, path, rows.schema)
 
 
+# Values of several types in one column, as files that grew over years have them.
+_RAGGED = """ragged AS (SELECT contact_key, CAST(age AS VARCHAR) AS age,
+  CASE WHEN contact_key % 97 = 5 THEN CAST(CAST(balance AS BIGINT) * 4000000000 AS VARCHAR) ELSE CAST(balance AS VARCHAR) END AS balance,
+  CASE WHEN contact_key % 1000 = 7 THEN concat(CAST(duration AS VARCHAR), '.5') WHEN contact_key % 50 = 3 THEN '' ELSE CAST(duration AS VARCHAR) END AS duration,
+  CASE WHEN contact_key % 500 = 9 THEN 'unknown' ELSE CAST(campaign AS VARCHAR) END AS campaign,
+  CASE WHEN housing = 'yes' THEN 'true' ELSE 'FALSE' END AS housing,
+  CASE WHEN contact_key % 300 = 11 THEN concat('2024-01-', CAST(10 + campaign AS VARCHAR), ' 12:30:00') ELSE concat('2024-02-', CAST(10 + campaign AS VARCHAR)) END AS seen FROM contacts)"""
+_RAGGED_COLUMNS = ("age", "balance", "duration", "campaign", "housing", "seen")
+_NARROWEST = """CASE WHEN regexp_matches(v, '^[+-]?[0-9]{1,18}$') THEN CASE WHEN CAST(v AS BIGINT) BETWEEN -2147483648 AND 2147483647 THEN 'int' ELSE 'bigint' END
+  WHEN regexp_matches(v, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$') THEN 'double' WHEN regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN 'date'
+  WHEN regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9:]{8}$') THEN 'timestamp_ntz' WHEN lower(v) IN ('true', 'false') THEN 'boolean' ELSE 'string' END"""
+
+
+@query(
+    "scan_csv_inferred",
+    with_sql(
+        CONTACTS,
+        _RAGGED,
+        "cells AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, contact_key, {c} AS v FROM ragged" for c in _RAGGED_COLUMNS) + ")",
+        f"met AS (SELECT column_name, {_NARROWEST} AS narrowest, count(*) AS row_count, min(contact_key) AS first_key FROM cells WHERE v <> '' GROUP BY ALL)",
+        """types AS (SELECT column_name, CASE WHEN bool_and(narrowest = 'int') THEN 'int' WHEN bool_and(narrowest IN ('int', 'bigint')) THEN 'bigint'
+      WHEN bool_and(narrowest IN ('int', 'bigint', 'double')) THEN 'double' WHEN bool_and(narrowest = 'date') THEN 'date'
+      WHEN bool_and(narrowest IN ('date', 'timestamp_ntz')) THEN 'timestamp_ntz' WHEN bool_and(narrowest = 'boolean') THEN 'boolean' ELSE 'string' END AS inferred FROM met GROUP BY column_name)""",
+    )
+    + "SELECT column_name, narrowest, row_count, first_key, inferred FROM met JOIN types USING (column_name)",
+)
+def scan_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """The types that a delimited file's columns need, and the first row that needed each."""
+    select = _RAGGED.split("AS (", 1)[1].rsplit(")", 1)[0].replace("VARCHAR", "STRING").replace("FROM contacts", "FROM {contacts}")
+    path = fresh_path(spark, "ragged")
+    spark.sql(select, contacts=contacts(spark, sf)).write.option("sep", ";").option("header", True).csv(path)
+    texts = inference.read_texts(spark, path).withColumn("contact_key", F.col("contact_key").cast("bigint"))
+    return inference.type_report(texts, "contact_key")
+
+
 @query("scan_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def scan_table(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_table(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_custkey", "o_totalprice"])
