@@ -15,26 +15,53 @@ missed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WIDTH, BANDS, CONTAINMENT = 5, 8, 0.8
 
-# Names and notices of licenses, as their stewards publish them.
+# Sentences by which licenses are given, as their texts, their stewards' notices, common
+# READMEs and SPDX lines have them. Two entries may name one license.
 TEMPLATES = (
+    ("AGPL-3.0 notice", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0 notice", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("Artistic-2.0", "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble This license establishes the terms under which a given free software Package may be copied, modified, distributed"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD notice", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD-3-Clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("BSD readme", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0 notice", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
+    ("GPL-2.0 notice", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0 notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL notice", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
     ("MIT", "Released under the MIT License."),
+    ("MIT distributed", "Distributed under the MIT License."),
+    ("MIT licensed", "licensed under the MIT License."),
     ("MIT notice", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("SPDX AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0"),
+    ("SPDX Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("SPDX BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("SPDX BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("SPDX GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("SPDX GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("SPDX LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1"),
+    ("SPDX MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
 )
 
 
@@ -63,6 +90,11 @@ def _band(shingles: Column, k: int) -> Column:
     )
 
 
+def _of_band(k: int) -> Callable[[Column], Column]:
+    # One parameter: a lambda with two is given the element's index as the second.
+    return lambda least: F.struct(F.lit(k).alias("band"), least.alias("least"))
+
+
 def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """``license, shingles`` of every template; as many rows as templates are given."""
     rows = F.array(*(F.struct(F.lit(n).alias("license"), F.lit(t).alias("notice")) for n, t in templates))
@@ -94,7 +126,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, co
     met = F.concat(*(
         F.transform(
             F.array_intersect(_band(F.col("shingles"), k), F.array(*map(F.lit, literal[k])).cast("array<bigint>")),
-            lambda v, k=k: F.struct(F.lit(k).alias("band"), v.alias("least")),
+            _of_band(k),
         )
         for k in range(BANDS)
     ))

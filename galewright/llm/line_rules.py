@@ -2,9 +2,11 @@
 
 Lines are cut at newlines. A line with a word fails on the first of these rules:
 
-* punctuation: too many of its words end in a symbol or a doubled mark, or it is a few words without a
-  terminal mark;
-* navigation: too many of its words are separators without a letter or digit;
+* punctuation: too many of its words end in a symbol or a doubled mark, or in an exclamation or question
+  mark, or are written in capitals; or it is a few words without a terminal mark; or it stands in a run
+  of lines without terminal mark, each of few words;
+* navigation: too many of its words are separators without a letter or digit, or paths; or it has no
+  terminal mark and nearly all of its words begin with a capital, as menus do;
 * boilerplate: it holds a boilerplate phrase, or equals an earlier line of the text.
 
 A document is rejected when it is too short or repetitive as a whole (the base rules) or when the
@@ -54,6 +56,12 @@ class LineRules:
     marked_share: float = 0.3
     separator_share: float = 0.25
     unended_words: int = 3
+    #: A line without terminal mark that ends no paragraph: up to so many words, in a run of so many such lines.
+    short_words: int = 6
+    short_run: int = 4
+    shouted_share: float = 0.5
+    title_share: float = 0.8
+    title_words: int = 3
     lost_share: float = 0.5
     phrases: tuple[str, ...] = BOILERPLATE
 
@@ -69,6 +77,36 @@ _MARK = _table(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 _TERMINAL = _table(b".!?:;\"')]")  # and any multi-byte character's last byte, for closing quotes and full stops
 _TERMINAL[0x80:] = True
 
+_UPPER = _table(bytes(range(ord("A"), ord("Z") + 1)))
+_ALNUM = _table(bytes([*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("0"), ord("9") + 1)]))
+_ALNUM[0x80:] = True  # any multi-byte character; the signs below are told apart whole
+# Signs between the parts of menus and breadcrumbs.
+_SIGNS = ("\u00bb", "\u203a", "\u2192", "\u2022", "\u00b7", "\u2013", "\u2014", "\u25b8", "\u25ba", "\u2027", "\u00ab", "\u2190")
+
+
+def _sign_hashes() -> np.ndarray:
+    held = Texts(0, np.frombuffer(" ".join(_SIGNS).encode(), np.uint8), np.array([0, len(" ".join(_SIGNS).encode())]))
+    return np.sort(word_hashes(held.data, words(held)))
+
+
+def _counted(of: np.ndarray, found: Words) -> np.ndarray:
+    """For every word, how many of its bytes are in the class."""
+    total = np.zeros(len(of) + 1, dtype=np.int64)
+    np.cumsum(of, out=total[1:])
+    return total[found.end] - total[found.start]
+
+
+def _in_run(marked: np.ndarray, text_of_line: np.ndarray, least: int) -> np.ndarray:
+    """Is the line in a run of ``least`` or more marked lines of its text? Empty lines must be left out before."""
+    n = len(marked)
+    if not n:
+        return marked
+    new = np.ones(n, dtype=bool)
+    new[1:] = (marked[1:] != marked[:-1]) | (text_of_line[1:] != text_of_line[:-1])
+    run = np.cumsum(new) - 1
+    return marked & (np.bincount(run)[run] >= least)
+
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "punctuation_words", "navigation_words", "boilerplate_words")
 SCHEMA = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES) + ", cleaned string"
 
@@ -135,9 +173,23 @@ def measure(texts: Texts, rules: LineRules, clean: bool) -> dict[str, np.ndarray
     separator = marks[found.end] - marks[found.start] == found.end - found.start
     ended = np.zeros(len(start), dtype=bool)
     ended[some] = _TERMINAL[last[word_first[1:][some] - 1]]
+    own = word_hashes(data, found)
+    separator |= np.isin(own, _sign_hashes())
+    path = (_counted(data == 0x2F, found) >= 2) & (_counted(data == 0x3A, found) == 0) & (_counted(_ALNUM[data], found) > 0)
+    letters, upper = _counted(_ALNUM[data], found), _counted(_UPPER[data], found)
+    shouted = (upper >= 2) & (upper == letters)
+    exclaimed = (last == 0x21) | (last == 0x3F)
+    some_words = in_line >= rules.title_words
     punctuation = some & (sums(marked & ~separator, word_first) > rules.marked_share * in_line)
+    punctuation |= some_words & (sums(exclaimed & ~separator, word_first) > rules.marked_share * in_line)
+    punctuation |= some_words & (sums(shouted, word_first) > rules.shouted_share * in_line)
     punctuation |= some & ~ended & (in_line < rules.unended_words)
-    navigation = some & (sums(separator, word_first) > rules.separator_share * in_line)
+    real = np.flatnonzero(some)
+    short = ~ended[real] & (in_line[real] <= rules.short_words)
+    punctuation[real] |= _in_run(short, text_of_line[real], rules.short_run)
+    titled = sums(_UPPER[data[found.start]] if len(found.start) else np.zeros(0, bool), word_first)
+    navigation = some & (sums(separator | path, word_first) > rules.separator_share * in_line)
+    navigation |= some_words & ~ended & (titled >= rules.title_share * in_line)
     line_hash = range_hashes(BYTE_VALUES[data], start, end)
     repeated = np.zeros(len(start), dtype=bool)
     text_key = joined(np.arange(len(texts)).astype(np.uint64), np.uint64(1))
@@ -154,7 +206,7 @@ def measure(texts: Texts, rules: LineRules, clean: bool) -> dict[str, np.ndarray
     boilerplate &= some & ~punctuation & ~navigation
 
     per_text = lambda of_lines: sums(in_line * of_lines, line_first)
-    repeat = _repeat_words(word_hashes(data, found), found, text_key[found.text_of()], rules.window)
+    repeat = _repeat_words(own, found, text_key[found.text_of()], rules.window)
     out = {
         "n_words": n_words,
         "word_chars": sums(chars, found.first),

@@ -63,6 +63,34 @@ def test_lines_are_removed_and_documents_that_lose_too_much_rejected(spark):
     assert found[4].boilerplate_words == 15 and found[4].cleaned == good
 
 
+PROSE = "The committee met in the old hall on Monday and spoke for hours about the bridge."
+MENU = "Home About Products Services Contact Login"
+PAGES = {
+    "menu": "\n".join([MENU, "News Events Jobs Partners Press Imprint", "Garden Tools Seeds Pots Sale Brands", "Account Cart Orders Wishlist Help Logout"]),
+    "shouting": "BUY! NOW! HERE!\nCHEAP! FAST! SAFE! CALL!\nBEST! PRICE! EVER! ORDER TODAY!",
+    "capitals": "EVERYTHING MUST GO BEFORE THE END OF THIS WEEK AND NOTHING WILL BE KEPT.",
+    "breadcrumbs": "\n".join(f"Home \u00bb Shop \u00bb Garden \u00bb Shelf {i}" for i in range(8)),
+    "paths": "\n".join(f"home/shop/garden/shelf{i} home/news/{i}/all next" for i in range(6)),
+    "list": "\n".join(["buy garden tools online", "seeds and pots on sale", "our shops near you", "track your order here", "write to our team", "terms for dealers"]),
+}
+
+
+def test_page_furniture_is_removed(spark):
+    rows = [(i, page) for i, page in enumerate(PAGES.values())]
+    for r in line_rules.judge_lines(spark.createDataFrame(rows, "doc_id long, text string"), clean=True).collect():
+        assert not r.kept and len(r.cleaned.split()) <= 0.5 * r.n_words, list(PAGES)[r.doc_id]
+
+
+def test_prose_keeps_its_lines(spark):
+    other = "Nobody had expected that; the mayor, who came late, asked for a vote. Was it needed? Most thought so!"
+    verse = "the river runs below the hill and slowly\nit turns to where the willows used to stand\nthe water brings the morning to the valley\nand takes the evening with it to the sand."
+    german = "Der Rat der Stadt trat am Montag zusammen, und die Sitzung dauerte bis in die Nacht."
+    rows = [(1, f"Chapter Three Begins Here\n{PROSE}\n{other}\n{german}"), (2, verse), (3, f"{PROSE} NASA and the EU agreed.\n{other}")]
+    found = {r.doc_id: r for r in line_rules.judge_lines(spark.createDataFrame(rows, "doc_id long, text string"), clean=True).collect()}
+    assert all(r.kept for r in found.values())
+    assert found[1].cleaned == f"{PROSE}\n{other}\n{german}" and found[2].cleaned == verse and found[3].cleaned == rows[2][1]
+
+
 def test_language_is_learned_and_rejected(spark, docs, edges, no_rows):
     part = remainder(F.col("doc_id"), 3)
     model = language_id.fit(docs.where(part != 1))
@@ -113,6 +141,26 @@ def test_license_scan_equals_sql_and_has_no_python(spark, sf, docs, edges, no_ro
     assert license_scan.scan(no_rows).count() == 0
 
 
+NOTICES = {
+    "Distributed under the MIT License, as all our tools are": "MIT distributed",
+    "The code is licensed under the MIT license, see LICENSE": "MIT licensed",
+    "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1": "LGPL notice",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.": "BSD notice",
+    "// SPDX-License-Identifier: GPL-2.0-only\nint main;": "SPDX GPL-2.0",
+    "/* This is free and unencumbered software released into the public domain. */": "Unlicense",
+    "Released under no license at all, and not under the MIT one": None,
+}
+
+
+def test_notices_beyond_the_fixtures_are_found(spark):
+    rows = [(i, t) for i, t in enumerate(NOTICES)]
+    found = {}
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    for i, wanted in enumerate(NOTICES.values()):
+        assert found.get(i, set()) == ({wanted} if wanted else set()), rows[i]
+
+
 def test_edited_notice_is_found_by_containment(spark):
     notice = dict(license_scan.TEMPLATES)["GPL-3.0 notice"]
     rows = [(1, "before " * 40 + notice.replace("modify", "change") + " after" * 40), (2, notice.replace("the", "a")), (3, notice[:60])]
