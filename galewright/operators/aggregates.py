@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galewright.session import materialize
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
@@ -19,9 +20,10 @@ def means_by(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataF
 
 
 def class_shares(df: DataFrame, column: str) -> DataFrame:
-    """Count and share per value. The total is a scalar subquery, so no task gathers all values."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return count_by(df, column).withColumn("share", F.col("row_count") / total)
+    """Count and share per value. The total is the counts' sum, so the rows are read once and no task gathers all values."""
+    counts = materialize(count_by(df, column), "counts")
+    total = counts.agg(F.sum("row_count")).scalar()
+    return counts.withColumn("share", F.col("row_count") / total)
 
 
 def non_null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
