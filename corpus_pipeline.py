@@ -2,6 +2,19 @@
 
 Language ID drops what it can't identify, the quality classifier what it rates as bad, SimHash keeps
 one document of each group of near-duplicates, and best-fit packing lays the rest out in sequences.
+
+All stages but the last return rows as they are, with the columns of the table they are given; columns may
+bear any names beside doc_id, text and, for the first, lang. What odd rows become:
+
+* language ID: NULL texts and texts without a letter go; rows with NULL lang are judged but not learned from;
+  without any labelled row nothing can be identified, and all rows go;
+* quality classifier: every text has a score, the empty one too; rows without doc_id or label are judged alike;
+  without labels all rows stay;
+* SimHash near-dedup: of rows equal in doc_id and text one stays, of a group the one with the smallest doc_id;
+  copies without doc_id become one; unrelated texts under one doc_id both stay;
+* best-fit packing: each remaining row becomes one or more pieces, a NULL or empty text its end token alone.
+
+An empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
