@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from galewright.llm.textarrays import Texts, text_slices
+from galewright.llm.textarrays import SLICE_BYTES, Texts, text_slices
 from galewright.session import drop_written, fresh_path, materialize, ship_package  # noqa: F401  (re-exported)
 
 
@@ -60,12 +60,12 @@ def bounded_sample(df: DataFrame, key: Column, rows: int, per: Column | None = N
     return marked.where(low < share).drop("_group", "_digest")
 
 
-def filter_texts(docs: DataFrame, keep: Callable[[Texts], np.ndarray], text: str = "text") -> DataFrame:
+def filter_texts(docs: DataFrame, keep: Callable[[Texts], np.ndarray], text: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The rows whose texts ``keep`` accepts, all columns as they are. One narrow pass, no join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [keep(texts) for texts in text_slices(batch.column(at))]
+            kept = [keep(texts) for texts in text_slices(batch.column(at), slice_bytes)]
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
 

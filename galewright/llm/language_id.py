@@ -28,6 +28,8 @@ from galewright.llm.frames import bounded_sample, columns_as, filter_texts, map_
 from galewright.llm.textarrays import Texts, add_up, lower_ascii, mixed, sums, text_slices
 
 UNKNOWN = "und"
+#: Bytes of text scored at once: each subword takes over a hundred bytes on the way.
+_SLICE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,8 @@ class LanguageSettings:
     reject_below: float = 0.4
     #: Share of learned languages' held-out segments that may fall below the known share's threshold.
     lost: float = 0.002
+    #: Further below that share a text must fall: odd names, numbers and misspellings are no other language.
+    slack: float = 0.85
     #: A text's known share counts with so many standard deviations in its favour.
     doubt: float = 3.0
 
@@ -166,7 +170,7 @@ def train(texts: list[str], labels: list[str], digests: np.ndarray, settings: La
             bucket = buckets_of(np.concatenate(hashed), settings)
             if len(bucket):
                 ids, counts = np.unique(bucket, return_counts=True)
-                examples[held].append((ids, counts / counts.sum(), code[labels[i]], hashed[-1]))
+                examples[held].append((ids.astype(np.int32), counts / counts.sum(), code[labels[i]], hashed[-1]))
     fit, check = examples[False] or examples[True], examples[True] or examples[False]
     steps, done = settings.epochs * len(fit), 0
     for _ in range(settings.epochs):
@@ -211,7 +215,7 @@ def _familiar(fit: list, check: list, languages: int, settings: LanguageSettings
             shares.append(float(surely_at_most(n, np.array(len(hashed)), settings.doubt)))
     low = float(np.quantile(own, settings.lost)) if own else 0.0
     high = float(np.quantile(foreign, 0.5)) if foreign and languages > 1 else low
-    return remembered(everywhere), min(low, (2 * low + high) / 3)
+    return remembered(everywhere), min(settings.slack * low, (low + 2 * high) / 3)
 
 
 def _segments(text: str, lengths: tuple[int, ...]) -> Iterator[str]:
@@ -256,7 +260,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, doc_id: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for texts in text_slices(batch.column("text")):
+            for texts in text_slices(batch.column("text"), _SLICE):
                 names, score, rejected = _verdicts(texts, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(texts.row, len(texts)), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
@@ -268,9 +272,10 @@ def identify(docs: DataFrame, model: LanguageModel | None, doc_id: str = "doc_id
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:
-    """The rows that ``identify`` doesn't reject, all columns as they are."""
+    """The rows that ``identify`` doesn't reject, all columns as they are, repeated rows too. NULL texts go; an empty
+    table stays empty; without a model no row stays."""
     shared = _shared(docs, model)
-    return filter_texts(docs, lambda texts: ~_verdicts(texts, shared.value)[2], text)
+    return filter_texts(docs, lambda texts: ~_verdicts(texts, shared.value)[2], text, _SLICE)
 
 
 def _shared(docs: DataFrame, model: LanguageModel | None) -> Broadcast:
