@@ -9,8 +9,8 @@ bucket of its context's count. The weights are learned by expectation-maximisati
 of the training texts, whose own counts are deleted for that; scores then use all training counts.
 
 Counts are gathered by a request and its reply. Texts are kept in batches; a batch sends each of its
-distinct n-grams once, as a sorted run of 64-bit hashes with its count, to the bin that holds the
-hash. A bin adds up what all batches sent and answers each with the totals in the same order, so an
+distinct n-grams once, as a sorted run of hashes (64 bits for tokens, 56 for longer n-grams) with its
+count, to the bin that holds the hash. A bin adds up what all batches sent and answers each with the totals in the same order, so an
 answer holds no keys. A frequent n-gram is one entry per batch, and no task holds more than one bin or
 one batch. Requests are at most batches times bins, and never more than the batches' distinct n-grams.
 """
@@ -34,6 +34,7 @@ FIT, TUNE, SCORE = range(3)  # roles: counted; counted, and deleted to learn the
 
 _END = np.uint64(0x6C62272E07BB0142)
 _START = np.uint64(0x27D4EB2F165667C5)
+_SHORTER = np.uint64(8)  # keys of longer n-grams have 56 bits
 _STEPS = 4  # probabilities are binned by quarters of a power of two
 _ZERO = 127
 
@@ -41,10 +42,9 @@ _ZERO = 127
 @dataclass(frozen=True)
 class ModelSettings:
     order: int = 2
-    batch_bytes: int = 8_000_000
+    batch_bytes: int = 6_000_000
     bins_per_part: int = 2
     rounds: int = 60
-    cells_on_driver: int = 200_000
 
 
 def grams(texts: Texts, order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -80,7 +80,8 @@ def _packed(values: np.ndarray) -> bytes:
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(blob[1:]), dtype=f"<i{blob[0]}").astype(np.int64)
+    values = np.frombuffer(zstandard.decompress(blob[1:]), dtype=f"<i{blob[0]}")
+    return values.astype(np.int64 if blob[0] == 8 else np.int32)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -139,7 +140,10 @@ def _grams_of(content: bytes, lengths: list[int], order: int) -> tuple[list[np.n
     data = np.frombuffer(zstandard.decompress(content) if content else b"", dtype=np.uint8)
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
     column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    return _together([grams(texts, order) for texts in text_slices(column)], order)
+    found, first = _together([grams(texts, order) for texts in text_slices(column)], order)
+    for longer in found[1:]:
+        longer >>= _SHORTER
+    return found, first
 
 
 def _requests(kept: DataFrame, settings: ModelSettings, bits: int) -> DataFrame:
@@ -151,7 +155,7 @@ def _requests(kept: DataFrame, settings: ModelSettings, bits: int) -> DataFrame:
                 hashes, _ = _grams_of(row["content"], row["lengths"], settings.order)
                 for level, found in enumerate(hashes):
                     keys, counts = np.unique(found, return_counts=True)
-                    bins = (keys >> np.uint64(64 - bits)).astype(np.int64)
+                    bins = (keys >> np.uint64((56 if level else 64) - bits)).astype(np.int64)
                     begin = np.flatnonzero(np.diff(bins, prepend=-1))
                     stop = np.append(begin[1:], len(bins))
                     n = len(begin)
@@ -230,13 +234,14 @@ def _estimates(row: dict, replies: pa.Table, column: str, settings: ModelSetting
     replies = replies.sort_by([("level", "ascending"), ("bin", "ascending")])
     levels, blobs = replies.column("level").to_pylist(), replies.column(column).to_pylist()
     counts, contexts = [], []
-    for level, found in enumerate(hashes):
+    for level in range(len(hashes)):
+        found, hashes[level] = hashes[level], None
         answer = np.concatenate([_unpacked(b) for k, b in zip(levels, blobs) if k == level])
         keys, place = np.unique(found, return_inverse=True)
         if level == 0:
             texts = answer[np.searchsorted(keys, _END)]  # every counted text has one end
         else:
-            context = np.empty(len(found), dtype=np.int64)
+            context = np.empty(len(found), dtype=np.result_type(counts[-1], texts))
             context[1:] = counts[-1][:-1]
             context[first[:-1]] = texts
             contexts.append(context)
@@ -360,11 +365,8 @@ def score(docs: DataFrame, role: Column, settings: ModelSettings = ModelSettings
     texts, answers = by_batch(f"role = {TUNE}")
     held_out = texts.cogroup(answers).applyInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     held_out = materialize(held_out, "cells")
-    if held_out.count() > settings.cells_on_driver:
-        weights = learn_weights_where_they_stand(held_out, settings.order, types, settings.rounds)
-    else:
-        rows = held_out.toPandas()
-        weights = learn_weights(rows["cell"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=np.int64), settings.order, types, settings.rounds)
+    rounds = 0 if held_out.isEmpty() else settings.rounds
+    weights = learn_weights_where_they_stand(held_out, settings.order, types, rounds)
     if not tokens:
         weights = [np.zeros(64) for _ in weights]
 
