@@ -20,42 +20,52 @@ from math import acos, ceil, comb, cos
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewright.llm.buckets import dealt, pairs_within, whole_buckets
 from galewright.llm.components import components
-from galewright.llm.frames import bounded_sample, columns_as, drop_written, map_arrow, materialize
+from galewright.llm.frames import columns_as, drop_written, map_arrow, materialize, ship_package
 
 
 @dataclass(frozen=True)
 class VectorSettings:
-    """Each length's rotation and index are fitted on about ``sample`` vectors; every vector is compared.
+    """Each length's rotation and index are fitted on about ``sample`` vectors; every vector is indexed.
 
-    ``recall`` is what an index has to find of the pairs at the threshold. A length of at most ``exact``
-    vectors, or one that no index serves, is compared vector by vector in pairs of blocks; with 0, only the latter.
+    ``recall`` is what an index has to find of the pairs at the threshold. ``prior`` random directions join
+    the sample of the rotation: they outweigh a few vectors, and many vectors outweigh them. ``piece`` is the
+    number of components whose vectors are encoded together.
     """
 
     threshold: float = 0.9
     sample: int = 5000
-    bits: int = 64
+    prior: int = 500
+    bits: int = 256
     rounds: int = 50
     block: int = 2048
     recall: float = 0.97
-    exact: int = 16_384
+    piece: int = 4_000_000
 
 
 @dataclass(frozen=True)
 class Index:
-    """``tables`` substrings, met within ``flips`` bits; candidates go on to the cosine up to a distance
-    of ``radius``. Vectors of half the angle seldom differ in more than ``near`` bits."""
+    """``tables`` substrings of ``width`` bits, met within ``flips`` bits; candidates go on to the cosine up to
+    a distance of ``radius`` of whole codes. Vectors of half the angle seldom differ in more than ``near`` bits."""
 
     tables: int
+    width: int
     flips: int
     radius: int
     near: int
 
+    def packed(self) -> int:
+        """As one integer, which travels with every code."""
+        return self.tables | self.width << 8 | self.flips << 16 | self.radius << 24 | self.near << 40
+
+    @staticmethod
+    def unpacked(of: int) -> Index:
+        return Index(of & 255, of >> 8 & 255, of >> 16 & 255, of >> 24 & 65535, of >> 40)
+
 
 @dataclass
 class Rotation:
@@ -63,22 +73,21 @@ class Rotation:
     axes: np.ndarray
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
-        """The signs of the rotated coordinates, as the low bits of 64-bit integers."""
-        signs = (unit - self.mean) @ self.axes > 0
-        out = np.zeros(len(unit), dtype=np.uint64)
-        for bit in range(signs.shape[1]):
-            out |= signs[:, bit].astype(np.uint64) << np.uint64(bit)
-        return out
+        """The signs of the rotated coordinates, 64 in each of a row's integers."""
+        signs = np.packbits((unit - self.mean) @ self.axes > 0, axis=1, bitorder="little")
+        return np.ascontiguousarray(signs).view("<u8").astype(np.uint64)
 
 
 def fit_rotation(unit: np.ndarray, settings: VectorSettings) -> Rotation:
     """Principal axes, then turns that bring the coordinates and their signs together."""
+    rng = np.random.default_rng(3)
+    prior = rng.normal(size=(settings.prior, unit.shape[1]))
+    unit = np.vstack([unit, prior / np.linalg.norm(prior, axis=1, keepdims=True)])
     mean = unit.mean(axis=0)
     centred = unit - mean
     _, vectors = np.linalg.eigh(centred.T @ centred)
     axes = vectors[:, ::-1][:, : min(settings.bits, unit.shape[1])]
     projected = centred @ axes
-    rng = np.random.default_rng(3)
     turn, _ = np.linalg.qr(rng.normal(size=(axes.shape[1],) * 2))
     for _ in range(settings.rounds):
         left, _, right = np.linalg.svd(np.where(projected @ turn > 0, 1.0, -1.0).T @ projected)
@@ -114,42 +123,53 @@ def boundary_pairs(unit: np.ndarray, settings: VectorSettings) -> list[tuple[np.
     return [(x, y) for x, y in (*out, (unit[i[some]], unit[j[some]])) if len(x) >= 100]
 
 
-def _met(distance: np.ndarray, tables: int, flips: int) -> np.ndarray:
-    """Do codes that differ in the bits ``distance`` meet in some table?"""
-    return np.logical_or.reduce([np.bitwise_count(substring(distance, t, tables)[0]) <= flips for t in range(tables)])
+def substring(code: np.ndarray, part: int, width: int) -> np.ndarray:
+    """Bits of table ``part``; they may lie in two neighbouring integers."""
+    word, low = divmod(part * width, 64)
+    bits = code[:, word] >> np.uint64(low)
+    if low + width > 64:
+        bits = bits | code[:, word + 1] << np.uint64(64 - low)
+    return bits & np.uint64((1 << width) - 1)
 
 
-def choose_index(rotation: Rotation, unit: np.ndarray, n: int, settings: VectorSettings) -> Index | None:
-    """The cheapest index that finds the wanted share of every kind of boundary pairs; None if comparing
-    all of ``n`` vectors is cheaper or no index finds enough. Costs are in comparisons of two codes."""
+def _distance(code: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(code).sum(axis=1, dtype=np.int16)
+
+
+def choose_index(rotation: Rotation, unit: np.ndarray, n: int, settings: VectorSettings) -> Index:
+    """The cheapest index over ``n`` vectors that finds the wanted share of every kind of boundary pairs, or
+    the one that finds most. Costs are in comparisons of two codes; a pair that goes on to the cosine is
+    2000 of them, a row of a table 100. Substrings grow with ``n``, as wide ones meet fewer by chance."""
     rng = np.random.default_rng(6)
     sets = [rotation.codes(x) ^ rotation.codes(y) for x, y in boundary_pairs(unit, settings)]
-    if not sets:
-        return None
     base = unit[rng.integers(len(unit), size=2000)]
     half = [_at_cosine(base, t, _half(settings)) for t in (rng.normal(size=base.shape), unit[rng.integers(len(unit), size=2000)])]
-    near = max((int(np.quantile(np.bitwise_count(rotation.codes(x) ^ rotation.codes(y)), 0.99)) for x, y in half if len(x)), default=0)
+    near = max((int(np.quantile(_distance(rotation.codes(x) ^ rotation.codes(y)), 0.99)) for x, y in half if len(x)), default=0)
     codes = rotation.codes(unit)
-    chance = codes[rng.integers(len(codes), size=50_000)] ^ codes[rng.integers(len(codes), size=50_000)]
-    dimension = 1 + unit.shape[1] / 64
-    whole = n * n / 2 * dimension + 100 * n * (n / settings.block) * dimension
-    best, least = None, whole if settings.exact else float("inf")
-    for tables in (4, 5, 6, 8):
-        for flips in range(5):
-            radius = 0
-            for distance in sets:
-                found = np.sort(np.bitwise_count(distance[_met(distance, tables, flips)]))
-                wanted = ceil(settings.recall * len(distance))
-                radius = max(radius, int(found[wanted - 1])) if len(found) >= wanted else 99
-            if radius > 64:
-                continue
-            zeros = [substring(codes, t, tables) for t in range(tables)]
-            keys = sum(comb(w, k) * 0.5**k for _, w in zeros for k in range(flips + 1))
-            meet = _met(chance, tables, flips)
-            compared = np.mean(meet) + 1000 * np.mean(meet & (np.bitwise_count(chance) <= radius))
-            cost = 100 * n * keys + n * n / 2 * compared
-            if cost < least:
-                best, least = Index(tables, flips, radius, near), cost
+    some = rng.integers(len(codes), size=(2, 300_000))
+    chance = codes[some[0]] ^ codes[some[1]]
+    apart, chance_apart = [_distance(d) for d in sets], _distance(chance)
+    best, least = Index(8, 8, 8, settings.bits, near), (2.0, float("inf"))
+    for width in (6, 8, 10, 12, 14, 16, 20, 24, 28):
+        closest = [np.full(len(d), width) for d in sets]
+        chance_closest, meetings = np.full(len(chance), width), np.zeros(width + 1)
+        for tables in range(1, min(16, settings.bits // width) + 1):
+            closest = [np.minimum(c, np.bitwise_count(substring(d, tables - 1, width))) for c, d in zip(closest, sets)]
+            bits = np.bitwise_count(substring(chance, tables - 1, width))
+            chance_closest = np.minimum(chance_closest, bits)
+            meetings += np.bincount(bits, minlength=width + 1).cumsum() / len(chance)
+            for flips in range(min(4, width - 1) + 1):
+                radius, found = 0, 1.0
+                for distance, nearest in zip(apart, closest):
+                    met = np.sort(distance[nearest <= flips])
+                    wanted = min(ceil(settings.recall * len(distance)), len(met))
+                    radius = max(radius, int(met[wanted - 1]) if wanted else 0)
+                    found = min(found, wanted / len(distance))
+                compared = meetings[flips] + 2000 * np.mean((chance_closest <= flips) & (chance_apart <= radius))
+                rows = tables * sum(comb(width, k) * 0.5**k for k in range(flips + 1))
+                score = (max(0.0, settings.recall - found), 100 * n * rows + n * n / 2 * compared)
+                if score < least:
+                    best, least = Index(tables, width, flips, radius, near), score
     return best
 
 
@@ -170,23 +190,27 @@ def _cosine(a: str, b: str) -> Column:
 
 
 _PARTS = 64  # a bucket's part is its vectors' length times this, plus its table
-Fitted = dict[int, tuple[Rotation, Index]]
 
 
-def _keys(nodes: DataFrame, fitted: Broadcast, extra: list[str]) -> DataFrame:
-    """``part, key, node, code`` and ``extra``: in every table of the length the code's substring, and the
-    substring with up to ``flips`` zeros set. Two substrings that differ in as many bits meet in their union."""
+def _code(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """The columns ``c0``, ``c1`` … as one row of integers for each vector."""
+    names = [c for c in table.schema.names if c[0] == "c" and c[1:].isdigit()]
+    return np.stack([table.column(c).to_numpy().view(np.uint64) for c in names], axis=1)
+
+
+def _keys(codes: DataFrame) -> DataFrame:
+    """``part, key`` and the columns of ``codes`` but the length: in every table of the length the code's substring, and
+    the substring with up to ``flips`` zeros set. Two substrings that differ in as many bits meet in their union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             length = whole.column("length").to_numpy()
             for one in np.unique(length):
                 batch = whole.filter(pa.array(length == one)).drop_columns(["length"])
-                index = fitted.value[int(one)][1]
-                code = batch.column("code").to_numpy().view(np.uint64)
+                index, code = Index.unpacked(batch.column("index")[0].as_py()), _code(batch)
                 for part in range(index.tables):
-                    own, width = substring(code, part, index.tables)
-                    for mask in (sum(1 << b for b in f) for k in range(index.flips + 1) for f in combinations(range(width), k)):
+                    own = substring(code, part, index.width)
+                    for mask in (sum(1 << b for b in f) for k in range(index.flips + 1) for f in combinations(range(index.width), k)):
                         at = np.flatnonzero((own & np.uint64(mask)) == 0)
                         key = pa.array((own[at] | np.uint64(mask)).view(np.int64))
                         taken = batch.take(pa.array(at))
@@ -195,83 +219,55 @@ def _keys(nodes: DataFrame, fitted: Broadcast, extra: list[str]) -> DataFrame:
                             names=["part", "key", *taken.schema.names],
                         )
 
-    columns = nodes.select("length", "node", "code", *extra)
-    return map_arrow(columns, run, "part int, key long, " + ", ".join(f"{c} long" for c in columns.columns[1:]))
+    return map_arrow(codes, run, "part int, key long, " + ", ".join(f"{c} long" for c in codes.columns if c != "length"))
 
 
-def substring(code: np.ndarray, part: int, tables: int) -> tuple[np.ndarray, int]:
-    """Bits of table ``part`` and their number."""
-    low, high = 64 * part // tables, 64 * (part + 1) // tables
-    return (code >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1), high - low
-
-
-def _by_length(table: pa.Table, first: np.ndarray) -> Iterator[tuple[int, pa.Table, np.ndarray]]:
-    """The length, rows and bucket bounds of each length in whole buckets."""
+def _by_length(table: pa.Table, first: np.ndarray) -> Iterator[tuple[Index, pa.Table, np.ndarray]]:
+    """The index, rows and bucket bounds of each length in whole buckets."""
     length = table.column("part").to_numpy() // _PARTS
     for one in np.unique(length):
         low, high = np.searchsorted(length, one, "left"), np.searchsorted(length, one, "right")
-        yield int(one), table.slice(low, high - low), first[(first >= low) & (first <= high)] - low
-
-
-def _close(table: pa.Table, first: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows ``i < j`` of each bucket whose vectors have a cosine of ``least`` or, within rounding, more."""
-    for a, b in zip(first[:-1], first[1:]):
-        unit = _unit(table.column("embedding").slice(a, b - a).combine_chunks())
-        for at in range(0, b - a, 512):
-            i, j = np.nonzero(unit[at : at + 512] @ unit[at:].T >= least - 1e-9)
-            yield a + at + i[i < j], a + at + j[i < j]
+        index = Index.unpacked(table.column("index")[int(low)].as_py())
+        yield index, table.slice(low, high - low), first[(first >= low) & (first <= high)] - low
 
 
-def _led(node: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    leader = node.copy()
-    for i, j in pairs:
-        np.minimum.at(leader, j, node[i])
-        np.minimum.at(leader, i, node[j])
-    led = leader < node
-    return pa.RecordBatch.from_arrays([pa.array(node[led]), pa.array(leader[led])], names=["node", "leader"])
-
-
-def _leaders(coded: DataFrame, rest: DataFrame, fitted: Broadcast, settings: VectorSettings) -> DataFrame:
-    """``node, leader``: the smallest node met that is likely, or for vectors of ``rest`` sure, to be within half the angle."""
+def _leaders(codes: DataFrame, settings: VectorSettings) -> DataFrame:
+    """``node, leader``: the smallest node met that is likely to be within half the angle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, bounds in whole_buckets(batches):
-            for length, table, first in _by_length(whole, bounds):
-                code, near = table.column("code").to_numpy().view(np.uint64), fitted.value[length][1].near
-                pairs = ((i[c], j[c]) for i, j in pairs_within(first) for c in [np.bitwise_count(code[i] ^ code[j]) <= near])
-                yield _led(table.column("node").to_numpy(), pairs)
-
-    def run_exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, first in whole_buckets(batches, 1):
-            yield _led(table.column("node").to_numpy(), _close(table, first, half))
-
-    half = _half(settings)
-    met = map_arrow(dealt(_keys(coded, fitted, []), "node", settings.block), run, "node long, leader long")
-    met = met.unionByName(map_arrow(dealt(rest, "node", settings.block), run_exact, "node long, leader long"))
+            for index, table, first in _by_length(whole, bounds):
+                code, node = _code(table), table.column("node").to_numpy()
+                leader = node.copy()
+                for i, j in pairs_within(first):
+                    close = _distance(code[i] ^ code[j]) <= index.near
+                    np.minimum.at(leader, j[close], node[i[close]])
+                    np.minimum.at(leader, i[close], node[j[close]])
+                led = leader < node
+                yield pa.RecordBatch.from_arrays([pa.array(node[led]), pa.array(leader[led])], names=["node", "leader"])
+
+    met = map_arrow(dealt(_keys(codes), "node", settings.block), run, "node long, leader long")
     return met.groupBy("node").agg(F.min("leader").alias("leader"))
 
 
-def _candidates(coded: DataFrame, rest: DataFrame, fitted: Broadcast, settings: VectorSettings) -> DataFrame:
-    """``a, b``: nodes of different cells that meet in a table and differ in ``radius`` bits or less, and
-    all of ``rest`` within the threshold.
+def _candidates(codes: DataFrame, settings: VectorSettings) -> DataFrame:
+    """``a, b``: nodes of different cells that meet in a table and differ in ``radius`` bits or less.
 
     A pair counts in its first table only, and there in the bucket of the union of its substrings.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, bounds in whole_buckets(batches):
-            for length, table, first in _by_length(whole, bounds):
-                index = fitted.value[length][1]
-                node, cell, code, part, key, own, i_, j_ = (
-                    table.column(c).to_numpy() for c in ("node", "cell", "code", "part", "key", "own", "i", "j")
-                )
-                code, part = code.view(np.uint64), part % _PARTS
+            for index, table, first in _by_length(whole, bounds):
+                node, cell, part, key, own, i_, j_ = (table.column(c).to_numpy() for c in ("node", "cell", "part", "key", "own", "i", "j"))
+                code, part = _code(table), part % _PARTS
                 for i, j in pairs_within(first):
-                    close = (np.bitwise_count(code[i] ^ code[j]) <= index.radius) & (cell[i] != cell[j])
-                    close &= (own[i] != own[j]) | (i_[i] == j_[i])
+                    close = (cell[i] != cell[j]) & ((own[i] != own[j]) | (i_[i] == j_[i]))
+                    i, j = i[close], j[close]
+                    close = _distance(code[i] ^ code[j]) <= index.radius
                     i, j = i[close], j[close]
                     for t in range(index.tables):
-                        x, y = substring(code[i], t, index.tables)[0], substring(code[j], t, index.tables)[0]
+                        x, y = substring(code[i], t, index.width), substring(code[j], t, index.width)
                         meet = np.bitwise_count(x ^ y) <= index.flips  # up to twice as many may share a union
                         earlier = meet & (t < part[i])
                         here = t == part[i]
@@ -279,22 +275,52 @@ def _candidates(coded: DataFrame, rest: DataFrame, fitted: Broadcast, settings:
                         i, j = i[good], j[good]
                     yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], names=["a", "b"])
 
-    def run_exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, first in whole_buckets(batches, 1):
-            node, cell, own, i_, j_ = (table.column(c).to_numpy() for c in ("node", "cell", "own", "i", "j"))
-            for i, j in _close(table, first, settings.threshold):
-                new = (cell[i] != cell[j]) & ((own[i] != own[j]) | (i_[i] == j_[i]))
-                yield pa.RecordBatch.from_arrays([pa.array(node[i[new]]), pa.array(node[j[new]])], names=["a", "b"])
+    return map_arrow(dealt(_keys(codes), "node", settings.block), run, "a long, b long")
+
+
+def _encoded(distinct: DataFrame, settings: VectorSettings) -> DataFrame:
+    """``node, length, index, c0, c1 …`` of every vector that has another of its length.
 
-    met = map_arrow(dealt(_keys(coded, fitted, ["cell"]), "node", settings.block), run, "a long, b long")
-    return met.unionByName(map_arrow(dealt(rest, "node", settings.block), run_exact, "a long, b long"))
+    A length's model is fitted in one task and goes to the pieces of its vectors as rows do; neither the
+    driver nor a broadcast holds models, however many lengths there are.
+    """
+
+    def learn(found: pa.Table) -> pa.Table:
+        unit = _unit(found.column("embedding").combine_chunks())
+        rotation = fit_rotation(unit, settings)
+        index = choose_index(rotation, unit, found.column("n")[0].as_py(), settings)
+        of = {"length": pa.array([unit.shape[1]], pa.int32()), "pieces": found.column("pieces").slice(0, 1)}
+        return pa.table(of | {"index": pa.array([index.packed()], pa.int64()), "model": [pickle.dumps(rotation)]})
+
+    def encode(vectors: pa.Table, model: pa.Table) -> pa.Table:
+        codes = np.empty((0, settings.bits // 64), dtype=np.uint64)
+        if vectors.num_rows:
+            codes = pickle.loads(model.column("model")[0].as_py()).codes(_unit(vectors.column("embedding").combine_chunks()))
+        index = model.column("index")[0].as_py()
+        named = {"node": vectors.column("node"), "length": vectors.column("length"), "index": pa.array(np.full(len(codes), index, dtype=np.int64))}
+        return pa.table(named | {f"c{k}": np.ascontiguousarray(codes[:, k]).view(np.int64) for k in range(codes.shape[1])})
+
+    sized = distinct.select("node", "d1", "embedding", F.size("embedding").alias("length"))
+    pieces = F.ceil(F.col("n") * F.col("length") / settings.piece).cast("int").alias("pieces")
+    lengths = materialize(sized.groupBy("length").agg(F.count("*").alias("n")).where("n > 1").select("length", "n", pieces), "lengths")
+    sized = sized.join(lengths, "length")
+    share = F.xxhash64("d1", F.lit("sample")) / F.lit(2.0**64) + 0.5  # digests of vectors, which are distinct
+    learned = sized.where(share * F.col("n") < settings.sample).select("length", "n", "pieces", "embedding")
+    models = materialize(
+        learned.groupBy("length").applyInArrow(learn, "length int, pieces int, index long, model binary"), "models"
+    ).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    dealt_out = sized.select("node", "length", "embedding", F.pmod(F.xxhash64("d1"), F.col("pieces")).cast("int").alias("piece"))
+    longs = ", ".join(f"c{k} long" for k in range(settings.bits // 64))
+    ship_package(distinct.sparkSession)
+    both = dealt_out.groupBy("length", "piece").cogroup(models.select("length", "piece", "index", "model").groupBy("length", "piece"))
+    return materialize(both.applyInArrow(encode, f"node long, length int, index long, {longs}"), "codes")
 
 
 def near_duplicates(vectors: DataFrame, settings: VectorSettings = VectorSettings(), vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
     ``n_links`` counts the other rows with a cosine of ``threshold`` or more (double precision) that the
-    index finds; no pair below it counts. ``component_id`` is the smallest vec_id reachable by links.
+    index finds, which is fitted to find ``recall`` of those at the threshold; no pair below it counts. ``component_id`` is the smallest vec_id reachable by links.
     Vectors of every length are compared with those of their own length. NULL and zero vectors and
     vectors with NULL or non-finite components link with nothing, as do rows without vec_id (whose
     component is NULL).
@@ -314,51 +340,20 @@ def near_duplicates(vectors: DataFrame, settings: VectorSettings = VectorSetting
         "distinct",
     )
 
-    length = F.size("embedding").alias("length")
-    many = {r["length"]: r["count"] for r in distinct.groupBy(length).count().where(F.col("count") > settings.exact).collect()}
-
-    def learn(found: pa.Table) -> pa.Table:
-        unit = _unit(found.column("embedding").combine_chunks())
-        rotation = fit_rotation(unit, settings)
-        of = unit.shape[1]
-        return pa.table({"length": pa.array([of], pa.int32()), "model": [pickle.dumps((rotation, choose_index(rotation, unit, many[of], settings)))]})
-
-    fitted: Fitted = {}
-    if many:
-        sample = bounded_sample(distinct.where(length.isin(*many)), F.col("node"), settings.sample, per=length)
-        learned = sample.select(length, "embedding").groupBy("length").applyInArrow(learn, "length int, model binary")
-        found = {r["length"]: pickle.loads(r["model"]) for r in learned.collect()}
-        fitted = {n: model for n, model in found.items() if model[1]}
-    shared = vectors.sparkSession.sparkContext.broadcast(fitted)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            lengths = whole.column("length").to_numpy()
-            for one in np.unique(lengths):
-                batch = whole.filter(pa.array(lengths == one))
-                codes = shared.value[int(one)][0].codes(_unit(batch.column("embedding")))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("node"), batch.column("length"), pa.array(codes.view(np.int64))], names=["node", "length", "code"]
-                )
-
-    indexed = length.isin(*fitted) if fitted else F.lit(False)
-    codes = materialize(map_arrow(distinct.where(indexed).select("node", length, "embedding"), encode, "node long, length int, code long"), "codes")
-    bucket = [(length * _PARTS).alias("part"), F.lit(0).cast("long").alias("key")]
-    rest = distinct.where(~indexed).select(*bucket, "node", "embedding")
+    codes = _encoded(distinct, settings)
     whole = distinct.select("node", "embedding")
     other = distinct.select(F.col("node").alias("leader"), F.col("embedding").alias("towards"))
-    leaders = materialize(_leaders(codes, rest, shared, settings), "leaders")
+    leaders = materialize(_leaders(codes, settings), "leaders")
     celled = leaders.join(whole, "node").join(other, "leader").where(_cosine("embedding", "towards") >= _half(settings))
     cells = materialize(
         distinct.select("node").join(celled.select("node", "leader"), "node", "left").withColumn("cell", F.coalesce("leader", "node")).drop("leader"),
         "cells",
     )
-    rest = rest.join(cells, "node").select("part", "key", "node", "embedding", "cell")
-    pairs = materialize(_candidates(codes.join(cells, "node"), rest, shared, settings), "pairs")
+    pairs = materialize(_candidates(codes.join(cells, "node"), settings), "pairs")
     ends = pairs.join(distinct.select(F.col("node").alias("a"), F.col("embedding").alias("va"), F.col("copies").alias("na")), "a")
     ends = ends.join(distinct.select(F.col("node").alias("b"), F.col("embedding").alias("vb"), F.col("copies").alias("nb")), "b")
     links = materialize(ends.where(_cosine("va", "vb") >= settings.threshold).select("a", "b", "na", "nb"), "links")
-    drop_written(leaders, pairs)
+    drop_written(codes, leaders, pairs)
     # Links of a row: its copies, the rest of its cell, and the links between cells.
     counted = cells.select("node", "cell").join(distinct.select("node", "copies"), "node")
     in_cell = materialize(counted.groupBy("cell").agg(F.sum("copies").alias("in_cell")), "cell-sizes")
