@@ -33,7 +33,8 @@ class VectorSettings:
     """Each length's rotation and index are fitted on about ``sample`` vectors; every vector is indexed.
 
     ``recall`` is what an index has to find of the pairs at the threshold. ``prior`` random directions join
-    the sample of the rotation: they outweigh a few vectors, and many vectors outweigh them. ``piece`` is the
+    the sample of the rotation: they outweigh a few vectors, and many vectors outweigh them. An index is chosen as
+    for ``planned`` vectors or more, so small tables are met by the index of larger ones. ``piece`` is the
     number of components whose vectors are encoded together.
     """
 
@@ -44,6 +45,7 @@ class VectorSettings:
     rounds: int = 50
     block: int = 2048
     recall: float = 0.97
+    planned: int = 100_000
     piece: int = 4_000_000
 
 
@@ -288,7 +290,7 @@ def _encoded(distinct: DataFrame, settings: VectorSettings) -> DataFrame:
     def learn(found: pa.Table) -> pa.Table:
         unit = _unit(found.column("embedding").combine_chunks())
         rotation = fit_rotation(unit, settings)
-        index = choose_index(rotation, unit, found.column("n")[0].as_py(), settings)
+        index = choose_index(rotation, unit, max(settings.planned, found.column("n")[0].as_py()), settings)
         of = {"length": pa.array([unit.shape[1]], pa.int32()), "pieces": found.column("pieces").slice(0, 1)}
         return pa.table(of | {"index": pa.array([index.packed()], pa.int64()), "model": [pickle.dumps(rotation)]})
 
