@@ -226,15 +226,21 @@ def _segments(text: str, lengths: tuple[int, ...]) -> Iterator[str]:
         k += 1
 
 
+def training_rows(labelled: DataFrame, settings: LanguageSettings) -> DataFrame:
+    """``text, lang, digest``: about ``rows_per_language`` distinct rows of each language, or fewer."""
+    named = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
+    digest = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    sample = bounded_sample(named, digest, settings.rows_per_language, per=F.col("lang"))
+    return sample.select("text", "lang", digest.alias("digest")).dropDuplicates(["lang", "digest"])
+
+
 def fit(labelled: DataFrame, settings: LanguageSettings = LanguageSettings(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel | None:
     """A model from the rows with text and language; None without such rows.
 
-    Reads a sample of about ``rows_per_language`` rows of each language, chosen by a digest of doc_id,
-    and trains in one task, so a language may hold any share of the rows.
+    Reads a sample of about ``rows_per_language`` rows of each language, chosen by a digest of doc_id and
+    text and each taken once, and trains in one task, so a language, an id or a text may hold any share of the rows.
     """
-    named = columns_as(labelled, doc_id=doc_id, text=text, lang=lang).where("text IS NOT NULL AND lang IS NOT NULL")
-    sample = bounded_sample(named, F.col("doc_id"), settings.rows_per_language, per=F.col("lang"))
-    sample = sample.select("text", "lang", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("digest"))
+    sample = training_rows(columns_as(labelled, doc_id=doc_id, text=text, lang=lang), settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [b for b in batches if b.num_rows]

@@ -126,19 +126,25 @@ def train(texts: list[str], labels: np.ndarray, digests: np.ndarray, settings: Q
     return QualityModel(w[:-1].astype(np.float32), float(w[-1]), settings)
 
 
+def training_texts(docs: DataFrame, labels: DataFrame, settings: QualitySettings) -> DataFrame:
+    """``text, label, digest``: at most ``rows`` distinct rows of the documents that the sampled labels name."""
+    named = labels.where("label IN (0, 1) AND doc_id IS NOT NULL")
+    named = named.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("order"))
+    sample = bounded_sample(named, F.col("doc_id"), settings.rows).orderBy(order).limit(settings.rows)
+    texts = docs.join(F.broadcast(sample), "doc_id")  # at most settings.rows rows
+    texts = texts.select(F.coalesce("text", F.lit("")).alias("text"), "label", F.xxhash64("doc_id", "text").alias("digest"))
+    return texts.dropDuplicates(["digest"]).orderBy("digest").limit(settings.rows)  # an id may have any number of rows
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings(), doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> QualityModel | None:
     """A model from the labelled documents; None without any.
 
     ``labels`` has one row per labelled document: ``doc_id`` and 0 or 1; rows with other or no labels
     are left out. A sample of at most ``settings.rows`` of them, chosen by a digest of doc_id, is sent
-    to the documents, and one task trains on their texts.
+    to the documents, and one task trains on as many of their texts, each taken once.
     """
-    named = columns_as(labels, doc_id=doc_id, label=label).where("label IN (0, 1) AND doc_id IS NOT NULL")
-    named = named.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("order"))
-    sample = bounded_sample(named, F.col("doc_id"), settings.rows).orderBy(order).limit(settings.rows)
-    texts = columns_as(docs, doc_id=doc_id, text=text).join(F.broadcast(sample), "doc_id")  # at most settings.rows rows
-    texts = texts.select(F.coalesce("text", F.lit("")).alias("text"), "label", F.xxhash64("doc_id", "text").alias("digest"))
+    texts = training_texts(columns_as(docs, doc_id=doc_id, text=text), columns_as(labels, doc_id=doc_id, label=label), settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [b for b in batches if b.num_rows]

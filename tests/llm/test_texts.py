@@ -133,6 +133,17 @@ def test_bounded_sample_keeps_all_of_a_small_group(spark):
     assert counts["few"] == 50 and counts[None] == 50 and 50 < counts["many"] < 200
 
 
+def test_training_texts_are_bounded_whatever_the_ids(spark):
+    """Rows of one id, of no id and equal rows: each model is trained on distinct rows, as many as stated."""
+    doc_id = F.when(F.col("id") < 1500, 7).cast("long").alias("doc_id")
+    rows = spark.range(6000).select(doc_id, F.concat(F.lit("some words of row "), F.col("id") % 1000).alias("text"), F.lit("xx").alias("lang"))
+    few = language_id.training_rows(rows, language_id.LanguageSettings(rows_per_language=300))
+    assert 20 <= few.count() <= 450 and few.count() == few.distinct().count()
+    named = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, label int")
+    some = quality.training_texts(rows.drop("lang"), named, quality.QualitySettings(rows=200))
+    assert some.count() == some.distinct().count() == 200
+
+
 def test_license_scan_equals_sql_and_has_no_python(spark, sf, docs, edges, no_rows, plan_of, entry):
     query = entry["op7_license_scan"](spark, sf)
     assert differences(query, connect(sf), license_scan.scan_sql()) == []
