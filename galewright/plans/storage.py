@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from galewright.functions import rules
 from galewright.operators import joins
 from galewright.operators.sampling import hash_sample, stratified_split
+from galewright.plans.features import FORCED, forced_rows
 from galewright.plans.joining import MERGE_SIDES, MERGED_ROWS, merge_sides
 from galewright.plans.projecting import tier
 from galewright.plans.registration import CONTACTS, RATIO, SCORED, TIER, share_sql, digest_sql, query, with_sql
@@ -188,14 +189,18 @@ def sink_overwrite_strict(spark: SparkSession, sf: str) -> DataFrame:
     return output.as_of()
 
 
-@query("sink_append", with_sql(SCORED) + "SELECT * FROM scored")
+@query(
+    "sink_append",
+    with_sql(SCORED)
+    + f"""SELECT event_id, inference_timestamp, job, balance, CAST(model_version AS VARCHAR) AS model_version, y_flag, prediction FROM scored
+      UNION ALL SELECT event_id, inference_timestamp + INTERVAL 1 DAY, job, balance, CAST(model_version AS VARCHAR), {FORCED} FROM scored""",
+)
 def sink_append(spark: SparkSession, sf: str) -> DataFrame:
-    """The log of the first week, to which the later weeks are appended."""
-    log = scored_events(spark, sf)
-    first_week = F.col("inference_timestamp") < F.expr("timestamp_ntz'2024-01-08 00:00:00'")
+    """The whole log, to which the log of a day later is appended."""
+    log = scored_events(spark, sf).withColumn("model_version", F.col("model_version").cast("string"))
     path = fresh_path(spark, "append")
-    log.filter(first_week).write.parquet(path)
-    sinks.append(log.filter(~first_week), path)
+    log.write.parquet(path)
+    sinks.append(forced_rows(scored_events(spark, sf)), path)
     return spark.read.schema(log.schema).parquet(path)
 
 
