@@ -74,3 +74,9 @@ def test_merged_sketches_stay_within_their_error(spark):
     assert kept.count() == 10
     found = profile.merged_distinct(kept, ["m"], size=12).first()["distinct_count"]
     assert abs(found / 50_000 - 1) < 4 / 2**6  # four standard errors
+
+
+def test_the_weights_of_few_bytes_are_dealt_to_all_tasks(spark, plan_of):
+    rows = spark.range(1000).coalesce(1).selectExpr("id", "'s' AS segment", "id % 2 AS v", "1 AS y", "1 AS p")
+    plan = plan_of(registry.segment_gain_bounds(rows, "id", "segment", "v", 0, 1, "y", "p"))
+    assert "REPARTITION_BY_NUM" in plan[plan.index("Generate explode(") :]
