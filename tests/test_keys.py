@@ -102,6 +102,12 @@ def test_split_handles_null_classes_and_empty_input(spark):
     assert sampling.stratified_split(df.limit(0), "id", "g").count() == 0
 
 
+def test_no_split_shuffles_rows_by_class(spark, skewed, plan_of):
+    for split in (sampling.stratified_split(skewed, "id", "v"), sampling.nested_split(skewed, "id", "v")):
+        plan = plan_of(split)
+        assert "BroadcastHashJoin" in plan and "hashpartitioning(_class" not in plan
+
+
 def test_nested_split_is_disjoint_and_complete(spark, skewed):
     split = sampling.nested_split(skewed, "id", "v", 20, 33)
     assert split.count() == split.select("id").distinct().count() == 5000
