@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewright.operators.keys import global_row_number
+from galewright.session import materialize
 
 
 def one_hot(
@@ -85,6 +86,10 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "class_weight") -> DataFrame:
-    """Attach the balanced weight to every row, by a join with one row per class."""
-    weights = class_weights(df, label).select(label, F.col("class_weight").alias(name))
+    """Attach the balanced weight to every row, by a join with one row per class.
+
+    The weights are written first, so that Spark knows their size when it plans: a join of unknown size is
+    planned as a shuffle by class, which leaves all later work on the rows to as many tasks as there are classes.
+    """
+    weights = materialize(class_weights(df, label).select(label, F.col("class_weight").alias(name)), "weights")
     return df.join(weights, label, "left").select(*df.columns, name)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galewright.functions.numeric import half_up
-from galewright.operators import importance, newton, prepare, sampling, training
+from galewright.operators import forest, importance, newton, prepare, sampling, training
 from galewright.operators.scoring import LinearModel, batch_score as score_batches, score_linear as score_expressions
 from galewright.plans.projecting import tier
 from galewright.plans.quality import rounded
@@ -211,8 +211,8 @@ def train_forest(spark: SparkSession, sf: str) -> DataFrame:
     """The forest on the test part, against guessing the larger class."""
     p = parts(spark, sf)
     train = p["train"].unionByName(p["validation"])
-    model = training.fit_model(train, "label", _CATEGORICAL, _NUMERIC, training.forest("label"))
-    found = training.evaluate(training.apply_model(model, p["test"], _NUMERIC), "label", "test_")
+    model = forest.fit_forest(train, "label", _CATEGORICAL, _NUMERIC)
+    found = training.evaluate(model.apply(p["test"]), "label", "test_")
     return _against_majority(p["test"], _metric(found, "test_weighted_f1"))
 
 
