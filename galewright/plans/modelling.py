@@ -293,7 +293,7 @@ def top_importances(spark: SparkSession, sf: str) -> DataFrame:
 def batch_score_forest(spark: SparkSession, sf: str) -> DataFrame:
     """Every row of the test part is scored, and its prediction is what its probability says."""
     p = parts(spark, sf)
-    model = training.fit_model(p["train"].unionByName(p["validation"]), "label", _CATEGORICAL, _NUMERIC, training.forest("label"))
-    scored = training.apply_model(model, p["test"], _NUMERIC)
+    model = forest.fit_forest(p["train"].unionByName(p["validation"]), "label", _CATEGORICAL, _NUMERIC)
+    scored = model.apply(p["test"])
     decided = F.col("score").between(0, 1) & ((F.col("prediction") == 1) == (F.col("score") > 0.5))
     return scored.select("contact_key", "label", decided.alias("score_decides"))
