@@ -65,3 +65,11 @@ def test_no_row_is_shuffled_by_class(spark, plan_of):
     rows = spark.range(1000).selectExpr("id", "CAST(id % 2 AS INT) AS label")
     plan = plan_of(prepare.with_class_weight(rows, "label"))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("trial", [training.Trial(0, "RandomForest", {"trees": 4, "depth": 5, "leaf": 2}), training.Trial(1, training.LOGISTIC, {"C": 1.0, "tol": 1e-4})])
+def test_refit_takes_the_searchs_own_models(parts, trial):
+    model, table = training.refit_best(trial, parts["train"], parts["test"], "label", CATEGORICAL, NUMERIC)
+    assert isinstance(model, forest.Forest) == (trial.number == 0)
+    values = {r["metric"]: r["value"] for r in table.collect()}
+    assert values["test_weighted_f1"] > 0.7 and len(values) == 18
