@@ -262,6 +262,8 @@ def _level(rows: DataFrame, bins: Bins, trees: dict[int, Tree], level: int, weig
 def fit_counted(rows: DataFrame, bins: Bins, trees: int = 100, depth: int = 10, leaf: int = 1, seed: int = 42) -> Forest:
     """A forest with balanced class weights from ``counted_rows``: bootstrapped rows, Gini, sqrt of the features a node."""
     sums = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    if not set(sums) <= {0, 1}:
+        raise ValueError(f"a label that is not 0 or 1 among {sorted(sums)}")
     every = sum(sums.values())
     weights = [every / (len(sums) * sums[k]) if k in sums else 0.0 for k in (0, 1)]
     grown: list[Tree] = []

@@ -73,3 +73,12 @@ def test_refit_takes_the_searchs_own_models(parts, trial):
     assert isinstance(model, forest.Forest) == (trial.number == 0)
     values = {r["metric"]: r["value"] for r in table.collect()}
     assert values["test_weighted_f1"] > 0.7 and len(values) == 18
+
+
+def test_odd_labels(spark):
+    rows = spark.range(20).selectExpr("CAST(id AS INT) AS x", "CAST(NULL AS STRING) AS c", "CAST(id % 3 AS INT) AS label")
+    with pytest.raises(ValueError, match="not 0 or 1"):
+        forest.fit_forest(rows, "label", ["c"], ["x"], trees=1, depth=2)
+    ones = forest.fit_forest(rows.where("label = 1"), "label", ["c"], ["x"], trees=2, depth=2)
+    assert {r["score"] for r in ones.apply(rows).collect()} == {1.0}
+    assert forest.fit_forest(rows.withColumn("label", F.lit(None).cast("int")), "label", ["c"], ["x"], trees=1, depth=1).apply(rows).count() == 20
