@@ -3,7 +3,9 @@
 A split looks at a row's bins only, so rows that agree in label and bins are counted once, and a bootstrap
 draws for n such rows a Poisson number of mean n, the sum of what n rows would draw. A pass over the
 counted rows adds up, for one level of all trees, the drawn rows of each class by node, feature and bin;
-the tasks that sum these choose the splits, and only the splits come to the driver.
+the tasks that sum these choose the splits, and only the splits come to the driver. Most rows soon lie in
+leaves: a tree with few counted rows in open nodes is sent these rows and finished by one task. Forests that
+differ in their number of trees or depth only are cut from the same trees.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -22,10 +25,12 @@ from galewright.operators.imputing import ModeImputer
 from galewright.operators.newton import MOST_FEATURES
 from galewright.session import drop_written, materialize, ship_package
 
-# Bins of a number, trees grown together, matrix cells that a task holds at once.
+# Bins of a number, trees grown together, matrix cells that a task holds at once, the counted rows in
+# open nodes up to which one task finishes a tree.
 BINS = 32
-TOGETHER = 150
+TOGETHER = 300
 CELLS = 8_000_000
+FINISHED = 32_768
 
 
 @dataclass(frozen=True)
@@ -84,26 +89,66 @@ class Bins:
 
 @dataclass
 class Tree:
-    """Nodes by number: the feature (-1: a leaf), the last bin that goes left, the left child, and class 1's share."""
+    """Nodes by number: the feature (-1: a leaf), the last bin that goes left, the left child, and class 1's share.
+
+    Numbers run level by level; ``ends`` has the number of nodes down to each level.
+    """
 
     feature: np.ndarray = field(default_factory=lambda: np.full(1, -1, np.int32))
     cut: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
     left: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
     share: np.ndarray = field(default_factory=lambda: np.zeros(1))
     open: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
-
-    def leaves(self, matrix: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rows in another order, and the leaf that each reaches."""
+    ends: list[int] = field(default_factory=lambda: [1])
+
+    def until(self, depth: int) -> Tree:
+        """The tree as it was at this depth."""
+        if depth >= len(self.ends) - 1:
+            return self
+        end = self.ends[depth]
+        feature = self.feature[:end].copy()
+        feature[self.ends[depth - 1] if depth else 0 :] = -1
+        return Tree(feature, self.cut[:end], self.left[:end], self.share[:end], self.open[:0], self.ends[: depth + 1])
+
+    def _steps(self, stay: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature, cut and left child by node, such that rows in the nodes given stay there."""
+        feature, cut = np.where(stay, 0, self.feature).astype(np.intp), np.where(stay, 255, self.cut).astype(np.uint8)
+        return feature, cut, np.where(stay, np.arange(len(stay)), self.left).astype(np.intp)
+
+    def leaves(self, matrix: np.ndarray) -> np.ndarray:
+        """The leaf that each row reaches."""
         flat, width = matrix.ravel(), matrix.shape[1]
-        node = np.zeros(len(rows), np.int32)
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        while len(rows):
-            feature = self.feature[node]
-            inner = feature >= 0
-            done.append((rows[~inner], node[~inner]))
-            rows, node, feature = rows[inner], node[inner], feature[inner]
-            node = self.left[node] + (flat[rows * width + feature] > self.cut[node])
-        return tuple(np.concatenate([d[i] for d in done] or [rows]) for i in (0, 1))
+        feature, cut, left = self._steps(self.feature < 0)
+        found = np.zeros(len(matrix), np.intp)
+        rows, base, node = np.arange(len(matrix)), np.arange(len(matrix)) * width, np.zeros(len(matrix), np.intp)
+        for step in range(1, len(self.ends)):
+            node = left.take(node) + (flat.take(base + feature.take(node)) > cut.take(node))
+            if step % 4 == 0:
+                found[rows] = node
+                inner = np.flatnonzero(self.feature.take(node) >= 0)
+                rows, base, node = rows.take(inner), base.take(inner), node.take(inner)
+        found[rows] = node
+        return found
+
+    def reached(self, matrix: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that lie in open nodes, and the place of each one's node among these."""
+        flat, width = matrix.ravel(), matrix.shape[1]
+        leads = np.zeros(len(self.feature), bool)  # to an open node; the others' rows are dropped where they enter
+        leads[self.open] = True
+        for first, end in reversed(list(zip([0, *self.ends], self.ends[:-1]))):
+            inner = first + np.flatnonzero(self.feature[first:end] >= 0)
+            leads[inner] = leads[self.left[inner]] | leads[self.left[inner] + 1]
+        feature, cut, left = self._steps(~leads | (self.feature < 0))
+        base, node = rows * width, np.zeros(len(rows), np.intp)
+        for _ in self.ends[1:]:
+            node = left.take(node) + (flat.take(base + feature.take(node)) > cut.take(node))
+            kept = np.flatnonzero(leads.take(node))
+            if len(kept) < 0.9 * len(node):
+                rows, base, node = rows.take(kept), base.take(kept), node.take(kept)
+        kept = np.flatnonzero(leads.take(node))
+        place = np.zeros(len(self.feature), np.intp)
+        place[self.open] = np.arange(len(self.open))
+        return rows.take(kept), place.take(node.take(kept))
 
     def grow(self, splits: np.ndarray, weights: Sequence[float], last: bool) -> None:
         """Split the open nodes by rows of (feature, cut, class counts, class counts on the left)."""
@@ -123,6 +168,7 @@ class Tree:
         self.cut, self.left = (np.concatenate([a, np.zeros(len(new), np.int32)]) for a in (self.cut, self.left))
         self.share = np.concatenate([self.share, share(zeros, ones)])
         self.open = new[(zeros > 0) & (ones > 0)] if not last else new[:0]
+        self.ends = [*self.ends, len(self.feature)]
 
 
 @dataclass(frozen=True)
@@ -140,10 +186,9 @@ class Forest:
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             for batch in batches:
                 matrix = bins.matrix([batch[c].to_numpy() for c in batch.columns])
-                total, every = np.zeros(len(batch)), np.arange(len(batch))
+                total = np.zeros(len(batch))
                 for tree in sent.value:
-                    rows, node = tree.leaves(matrix, every)
-                    total[rows] += tree.share[node]
+                    total += tree.share.take(tree.leaves(matrix))
                 yield pd.Series(total / len(sent.value))
 
         ship_package(spark)
@@ -155,10 +200,11 @@ class Forest:
         return scored.withColumn("prediction", (F.col("score") > 0.5).cast("double"))
 
     def counted_predictions(self, counted: DataFrame) -> DataFrame:
-        """``(y, prediction)`` of every row that ``counted_rows`` has counted; equal rows are scored once."""
+        """``(y, score, prediction)`` of every row that ``counted_rows`` has counted; equal rows are scored once."""
         codes = [F.col(c) for c in counted.columns if c[0] == "c"]
-        scored = counted.select("y", "n", (self.score(counted.sparkSession, codes) > 0.5).cast("int").alias("prediction"))
-        return scored.select("y", "prediction", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("col")
+        scored = counted.select("y", "n", self.score(counted.sparkSession, codes).alias("score"))
+        every = scored.select("y", "score", F.explode(F.array_repeat(F.lit(True), F.col("n").cast("int")))).drop("col")
+        return every.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
 
 
 def counted_rows(df: DataFrame, bins: Bins, label: str) -> DataFrame:
@@ -198,13 +244,66 @@ def _best_splits(counts: np.ndarray, subsets: np.ndarray, weights: Sequence[floa
     return np.column_stack([feature, cut, total[:, 0, 0], left[at, which, cut]]).astype(np.int64)
 
 
-def _level(rows: DataFrame, bins: Bins, trees: dict[int, Tree], level: int, weights: Sequence[float], leaf: int, seed: int) -> dict[int, np.ndarray]:
-    """The splits of every tree's open nodes, from one pass over the counted rows.
+def _counts(matrix: np.ndarray, y: np.ndarray, drawn: np.ndarray, at: np.ndarray, place: np.ndarray, subset: np.ndarray) -> np.ndarray:
+    """The drawn rows, given by number and node, by node, feature of its subset, bin and class; trailing zeros left out."""
+    width = subset.shape[1]
+    features = matrix.ravel().take(at[:, None] * matrix.shape[1] + subset.take(place, axis=0))
+    cell = features + BINS * (np.arange(width) + width * place[:, None])
+    index = (2 * cell + y.take(at)[:, None]).ravel()
+    return np.bincount(index, weights=np.repeat(drawn.take(at), width), minlength=1)
+
+
+def _splits(sums: np.ndarray, subset: np.ndarray, weights: Sequence[float], leaf: int) -> np.ndarray:
+    counts, some = sums.reshape(*subset.shape, BINS, 2), range(0, len(subset), 2048)
+    return np.concatenate([_best_splits(counts[i : i + 2048], subset[i : i + 2048], weights, leaf) for i in some])
+
+
+def _finished(growing: Growing, matrix: np.ndarray, drawn: np.ndarray, place: np.ndarray, weights: Sequence[float], seed: int) -> Iterator[np.ndarray]:
+    """The splits of each further level of a tree, from all its rows in open nodes; the matrix ends in the label."""
+    matrix, y, tree = np.ascontiguousarray(matrix[:, :-1]), matrix[:, -1].astype(np.int64), Tree(**vars(growing.tree))
+    tree.feature, tree.cut, tree.left = tree.feature.copy(), tree.cut.copy(), tree.left.copy()
+    at = np.arange(len(y))
+    for level in range(len(tree.ends) - 1, growing.depth):
+        subset = _subsets(seed, growing.number, level, len(tree.open), matrix.shape[1])
+        total, sums = np.zeros(subset.size * BINS * 2), _counts(matrix, y, drawn, at, place, subset)
+        total[: len(sums)] = sums
+        splits = _splits(total, subset, weights, growing.leaf)
+        yield splits
+        node = tree.open.take(place)
+        tree.grow(splits, weights, last=level == growing.depth - 1)
+        if not len(tree.open):
+            return
+        split = np.flatnonzero(tree.feature.take(node) >= 0)
+        at, node = at.take(split), node.take(split)
+        node = tree.left.take(node) + (matrix[at, tree.feature.take(node)] > tree.cut.take(node))
+        places = np.full(len(tree.feature), -1, np.intp)
+        places[tree.open] = np.arange(len(tree.open))
+        place = places.take(node)
+        at, place = at[place >= 0], place[place >= 0]
+
+
+@dataclass
+class Growing:
+    """A tree, its number (which decides its draws), the fewest rows of a leaf, its depth, and its counted rows in open nodes."""
+
+    tree: Tree
+    number: int
+    leaf: int
+    depth: int
+    rows: int
+
+    def grow(self, splits: np.ndarray, weights: Sequence[float]) -> None:
+        self.tree.grow(splits, weights, last=len(self.tree.ends) == self.depth)
+
 
-    A task sends the counts that are not zero, so no more than its rows times the features of a node.
+def _level(rows: DataFrame, bins: Bins, trees: dict[int, Growing], weights: Sequence[float], seed: int) -> dict[int, tuple[int, list[np.ndarray]]]:
+    """By tree: its counted rows in open nodes and the splits of these nodes, from one pass over the counted rows.
+
+    A task sends the counts that are not zero, so no more than its rows times the features of a node. For a tree
+    with at most ``FINISHED`` rows in open nodes it sends these rows, and the splits of all further levels come back.
     """
     spark, size = rows.sparkSession, bins.size
-    sent = spark.sparkContext.broadcast(trees)
+    sent, most = spark.sparkContext.broadcast(trees), FINISHED
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held, n = [], 0
@@ -220,63 +319,82 @@ def _level(rows: DataFrame, bins: Bins, trees: dict[int, Tree], level: int, weig
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             first, y, n, *codes = (c.to_numpy() for c in block.columns)
-            matrix = bins.matrix(codes)
-            flat, y = matrix.ravel(), y.astype(np.int64)
-            for number, tree in sent.value.items():
-                drawn = np.random.default_rng([seed, number, int(first[0])]).poisson(n)
-                at, node = tree.leaves(matrix, np.flatnonzero(drawn))
-                place = np.full(len(tree.feature), -1, np.int64)
-                place[tree.open] = np.arange(len(tree.open))
-                place = place[node]
-                at, place = at[place >= 0], place[place >= 0]
-                subset = _subsets(seed, number, level, len(tree.open), size)
-                width = subset.shape[1]
-                cell = flat[at[:, None] * size + subset[place]] + BINS * (np.arange(width) + width * place[:, None])
-                index = (2 * cell + y[at][:, None]).ravel()
-                sums = np.bincount(index, weights=np.repeat(drawn[at], width), minlength=1)
-                kept = np.flatnonzero(sums)
+            matrix, y = bins.matrix(codes), y.astype(np.int64)
+            for key, growing in sent.value.items():
+                drawn = np.random.default_rng([seed, growing.number, int(first[0])]).poisson(n)
+                at, place = growing.tree.reached(matrix, np.flatnonzero(drawn))
+                if growing.rows <= most:
+                    features = np.column_stack([matrix[at], y.take(at).astype(np.uint8)]).tobytes()
+                    where, counts = place, drawn.take(at)
+                else:
+                    subset = _subsets(seed, growing.number, len(growing.tree.ends) - 1, len(growing.tree.open), size)
+                    sums, features = _counts(matrix, y, drawn, at, place, subset), b""
+                    where = np.flatnonzero(sums)
+                    counts = sums.take(where)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), *(pa.array([v.astype(np.int32).tobytes()], pa.binary()) for v in (kept, sums[kept]))],
-                    names=["tree", "at", "n"],
-                )
+                    [pa.array([key]), pa.array([len(at)]), *(pa.array([v.astype(np.int32).tobytes()], pa.binary()) for v in (where, counts)), pa.array([features], pa.binary())],
+                    names=["tree", "rows", "at", "n", "features"],
+                )
 
     def choose(table: pa.Table) -> pa.Table:
-        number = table.column("tree")[0].as_py()
-        nodes = len(sent.value[number].open)
-        subset = _subsets(seed, number, level, nodes, size)
-        total = np.zeros(nodes * subset.shape[1] * BINS * 2)
-        for at, n in zip(table.column("at").to_pylist(), table.column("n").to_pylist()):
-            total[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int32)
-        counts, some = total.reshape(nodes, subset.shape[1], BINS, 2), range(0, nodes, 2048)
-        splits = np.concatenate([_best_splits(counts[i : i + 2048], subset[i : i + 2048], weights, leaf) for i in some])
-        return pa.table({"tree": [number], "splits": pa.array([splits.tobytes()], pa.binary())})
+        key = table.column("tree")[0].as_py()
+        growing, found = sent.value[key], sum(table.column("rows").to_pylist())
+        pairs = [[np.frombuffer(v, np.int32) for v in table.column(c).to_pylist()] for c in ("at", "n")]
+        if growing.rows <= most:
+            features = np.frombuffer(b"".join(table.column("features").to_pylist()), np.uint8).reshape(-1, size + 1)
+            place, drawn = (np.concatenate(p) for p in pairs)
+            splits = list(_finished(growing, features, drawn, place, weights, seed))
+        else:
+            subset = _subsets(seed, growing.number, len(growing.tree.ends) - 1, len(growing.tree.open), size)
+            total = np.zeros(subset.size * BINS * 2)
+            for at, n in zip(*pairs):
+                total[at] += n
+            splits = [_splits(total, subset, weights, growing.leaf)]
+        return pa.table({"tree": [key], "rows": [found], "splits": pa.array([[s.tobytes() for s in splits]], pa.list_(pa.binary()))})
 
     ship_package(spark)
-    counts = rows.mapInArrow(count, "tree long, at binary, n binary")
+    counts = rows.mapInArrow(count, "tree long, rows long, at binary, n binary, features binary")
     dealt = counts.repartition(spark.sparkContext.defaultParallelism, "tree")
-    found = dealt.groupBy("tree").applyInArrow(choose, "tree long, splits binary").collect()
+    found = dealt.groupBy("tree").applyInArrow(choose, "tree long, rows long, splits array<binary>").collect()
     sent.unpersist()
-    return {r["tree"]: np.frombuffer(r["splits"], np.int64).reshape(-1, 6) for r in found}
+    return {r["tree"]: (r["rows"], [np.frombuffer(s, np.int64).reshape(-1, 6) for s in r["splits"]]) for r in found}
 
 
-def fit_counted(rows: DataFrame, bins: Bins, trees: int = 100, depth: int = 10, leaf: int = 1, seed: int = 42) -> Forest:
-    """A forest with balanced class weights from ``counted_rows``: bootstrapped rows, Gini, sqrt of the features a node."""
-    sums = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+def fit_many(rows: DataFrame, bins: Bins, wanted: Sequence[dict[str, int]], seed: int = 42, parallelism: int = 3) -> list[Forest]:
+    """A forest for each of ``trees``, ``depth`` and ``leaf``, as ``fit_counted`` fits it, all from the same passes.
+
+    A tree follows from its number and ``leaf``, and a shallower one is its upper part, so it is grown once.
+    """
+    sums = {r["y"]: (r["n"], r["rows"]) for r in rows.groupBy("y").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
     if not set(sums) <= {0, 1}:
         raise ValueError(f"a label that is not 0 or 1 among {sorted(sums)}")
-    every = sum(sums.values())
-    weights = [every / (len(sums) * sums[k]) if k in sums else 0.0 for k in (0, 1)]
-    grown: list[Tree] = []
-    for start in range(0, trees, TOGETHER):
-        group = {number: Tree() for number in range(start, min(start + TOGETHER, trees))}
-        for level in range(depth):
-            growing = {number: tree for number, tree in group.items() if len(tree.open)}
-            if not growing:
-                break
-            for number, splits in _level(rows, bins, growing, level, weights, leaf, seed).items():
-                group[number].grow(splits, weights, last=level == depth - 1)
-        grown += group.values()
-    return Forest(bins, grown)
+    every, counted = (sum(s[i] for s in sums.values()) for i in (0, 1))
+    weights = [every / (len(sums) * sums[k][0]) if k in sums else 0.0 for k in (0, 1)]
+    deepest: dict[tuple[int, int], int] = {}
+    for w in wanted:
+        for number in range(w["trees"]):
+            deepest[w["leaf"], number] = max(w["depth"], deepest.get((w["leaf"], number), 0))
+    grown = {key: Growing(Tree(), key[1], key[0], depth, counted) for key, depth in deepest.items()}
+
+    def grow(group: list[Growing]) -> None:
+        while growing := {i: g for i, g in enumerate(group) if len(g.tree.open) and len(g.tree.ends) <= g.depth}:
+            found = _level(rows, bins, growing, weights, seed)
+            if not found:  # no rows
+                return
+            for i, (left, splits) in found.items():
+                growing[i].rows = left
+                for s in splits:
+                    growing[i].grow(s, weights)
+
+    alike = sorted(grown.values(), key=lambda g: (g.depth, g.leaf, g.number))
+    with ThreadPool(parallelism) as pool:
+        pool.map(grow, [alike[i : i + TOGETHER] for i in range(0, len(alike), TOGETHER)], chunksize=1)
+    return [Forest(bins, [grown[w["leaf"], number].tree.until(w["depth"]) for number in range(w["trees"])]) for w in wanted]
+
+
+def fit_counted(rows: DataFrame, bins: Bins, trees: int = 100, depth: int = 10, leaf: int = 1, seed: int = 42) -> Forest:
+    """A forest with balanced class weights from ``counted_rows``: bootstrapped rows, Gini, sqrt of the features a node."""
+    return fit_many(rows, bins, [{"trees": trees, "depth": depth, "leaf": leaf}], seed)[0]
 
 
 def fit_forest(

@@ -82,3 +82,30 @@ def test_odd_labels(spark):
     ones = forest.fit_forest(rows.where("label = 1"), "label", ["c"], ["x"], trees=2, depth=2)
     assert {r["score"] for r in ones.apply(rows).collect()} == {1.0}
     assert forest.fit_forest(rows.withColumn("label", F.lit(None).cast("int")), "label", ["c"], ["x"], trees=1, depth=1).apply(rows).count() == 20
+
+
+def test_trees_finished_in_a_task_and_forests_grown_together_are_the_same(parts, monkeypatch):
+    bins = forest.Bins.fitted(parts["train"], CATEGORICAL, NUMERIC)
+    rows = forest.counted_rows(parts["train"], bins, "label")
+    wanted = [{"trees": 3, "depth": 6, "leaf": 2}, {"trees": 5, "depth": 3, "leaf": 2}, {"trees": 2, "depth": 4, "leaf": 1}]
+    together, passes, level = forest.fit_many(rows, bins, wanted), [], forest._level
+    monkeypatch.setattr(forest, "_level", lambda *given: passes.append(len(given[2])) or level(*given))
+    for finished, most in ((0, 13), (500, 13), (32_768, 3)):
+        monkeypatch.setattr(forest, "FINISHED", finished)
+        passes.clear()
+        alone = [forest.fit_counted(rows, bins, **w) for w in wanted]
+        assert len(passes) <= most
+        for a, b in zip(together, alone):
+            assert len(a.trees) == len(b.trees)
+            for s, t in zip(a.trees, b.trees):
+                inner = s.feature >= 0
+                assert (s.feature == t.feature).all() and (s.cut[inner] == t.cut[inner]).all() and (s.left[inner] == t.left[inner]).all()
+                assert (s.share == t.share).all()
+
+
+def test_forests_of_a_search_share_their_passes(parts, monkeypatch):
+    passes, level = [], forest._level
+    monkeypatch.setattr(forest, "_level", lambda *given: passes.append(len(given[2])) or level(*given))
+    trials = [training.Trial(i, "RandomForest", {"trees": 4 - i, "depth": 3 + i, "leaf": 2}) for i in range(3)]
+    found = training.tune(parts["train"], parts["validation"], "label", CATEGORICAL, NUMERIC, trials).table
+    assert len(passes) <= 5 and max(passes) == 4 and found.count() == 3
