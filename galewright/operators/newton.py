@@ -17,10 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewright.functions.numeric import ratio
-from galewright.session import materialize, ship_package
+from galewright.session import drop_written, materialize, ship_package
 
 #: A model's curvature has the square of this many numbers, on the driver and in one row of a task.
 MOST_FEATURES = 2000
+#: Numbers of the design that a block of rows holds.
+BLOCK = 65_536
+#: 0/1 features that a number of 64 bits holds.
+BITS = 62
 INTERCEPT = "(intercept)"
 
 
@@ -88,12 +92,48 @@ def balanced_weight(df: DataFrame, label: str) -> DataFrame:
 
 
 def design_rows(df: DataFrame, design: Design, label: str) -> DataFrame:
-    """``y, w, x0, x1, …``: what the passes read, written once."""
+    """``y, w, x0, x1, …``: computed from the rows whenever read; a fit writes them once, in blocks."""
     named = [c.alias(f"x{i}") for i, c in enumerate(design.columns())]
-    return materialize(balanced_weight(df, label).select(F.col("_y").alias("y"), F.col("_w").alias("w"), *named), "design")
+    return balanced_weight(df, label).select(F.col("_y").alias("y"), F.col("_w").alias("w"), *named)
 
 
-def _sums(rows: DataFrame, models: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _blocks(rows: DataFrame, design: Design) -> DataFrame:
+    """``n, ones, numbers``: the rows of ``design_rows`` in blocks, 0/1 features as bits, ``y``, ``w`` and numbers as doubles.
+
+    Every pass reads all rows again, and to hand a task's rows over one number at a time takes far longer than the
+    sums. Small row groups, as a task holds one while it reads.
+    """
+    ones, size = len(design.categories), max(BLOCK // len(design.names), 1)
+    starts = range(0, ones, BITS)
+
+    def bits(start: int) -> Column:
+        flags = [F.col(f"x{i}").cast("long") * F.lit(1 << i - start) for i in range(start, min(start + BITS, ones))]
+        return sum(flags, F.lit(0).cast("long")).alias(f"b{start}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            flags = np.column_stack([np.zeros((batch.num_rows, 0), np.int64), *columns[: len(starts)]])
+            numbers = np.column_stack(columns[len(starts) :])
+            for i in range(0, batch.num_rows, size):
+                some = [pa.array([v[i : i + size].tobytes()], pa.binary()) for v in (flags, numbers)]
+                yield pa.RecordBatch.from_arrays([pa.array([len(numbers[i : i + size])]), *some], names=["n", "ones", "numbers"])
+
+    ship_package(rows.sparkSession)
+    numbers = [f"x{i}" for i in range(ones, len(design.names) - 1)]
+    packed = rows.select(*[bits(i) for i in starts], "y", "w", *numbers).mapInArrow(run, "n long, ones binary, numbers binary")
+    return materialize(packed, "blocks", **{"parquet.block.size": 16 << 20})
+
+
+def _unpacked(rows: int, flags: bytes, numbers: bytes, ones: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's matrix of features, and its ``y`` and ``w`` as columns."""
+    found = np.frombuffer(numbers).reshape(rows, -1)
+    bits = np.frombuffer(flags, np.uint8).reshape(rows, -1, 8)
+    wide = [np.unpackbits(bits[:, i], axis=1, count=min(BITS, ones - i * BITS), bitorder="little") for i in range(bits.shape[1])]
+    return np.column_stack([np.ones(rows), *wide, found[:, 2:]]), found[:, :1], found[:, 1:2]
+
+
+def _sums(blocks: DataFrame, models: np.ndarray, ones: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Loss, gradient and curvature of every model's coefficients over all rows.
 
     Each task sends its sums by model and row of the matrix, and they are added up by those, so no task and
@@ -103,15 +143,16 @@ def _sums(rows: DataFrame, models: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loss, gradient, curvature = np.zeros(n), np.zeros((n, d)), np.zeros((n, d, d))
-        for batch in batches:
-            y, w, *x = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            matrix = np.column_stack([np.ones(len(y)), *x])
-            for k, beta in enumerate(models):
-                z = matrix @ beta
-                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-                loss[k] += float(w @ (np.logaddexp(0, z) - y * z))
-                gradient[k] += matrix.T @ (w * (p - y))
-                curvature[k] += (matrix * (w * p * (1 - p))[:, None]).T @ matrix
+        for block in (block for batch in batches for block in zip(*(c.to_pylist() for c in batch.columns))):
+            matrix, y, w = _unpacked(*block, ones)
+            z = matrix @ models.T
+            e = np.exp(-np.abs(z))
+            p = np.where(z >= 0, 1.0, e) / (1 + e)
+            loss += (w * (np.log1p(e) + np.maximum(z, 0) - y * z)).sum(axis=0)
+            gradient += (w * (p - y)).T @ matrix
+            spread = w * e / (1 + e) ** 2
+            for k in range(n):
+                curvature[k] += (matrix * spread[:, k : k + 1]).T @ matrix
         both = np.concatenate([curvature, gradient[:, :, None], np.broadcast_to(loss[:, None, None], (n, d, 1))], axis=2)
         at = np.arange(n * d)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(list(both.reshape(n * d, d + 2)))], names=["at", "sums"])
@@ -120,9 +161,8 @@ def _sums(rows: DataFrame, models: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         total = np.sum(np.stack(table.column("sums").to_pylist()), axis=0)
         return pa.table({"at": [table.column("at")[0].as_py()], "sums": [total.tolist()]})
 
-    ship_package(rows.sparkSession)
     schema = "at long, sums array<double>"
-    found = rows.mapInArrow(run, schema).groupBy("at").applyInArrow(add, schema).collect()
+    found = blocks.mapInArrow(run, schema).groupBy("at").applyInArrow(add, schema).collect()
     total = np.zeros((n * d, d + 2))
     for row in found:
         total[row["at"]] = row["sums"]
@@ -134,31 +174,35 @@ def fit_many(rows: DataFrame, design: Design, strengths: Sequence[float], most:
     """A model for each inverse penalty strength C, all in shared passes.
 
     Minimises the weighted log loss + (squared coefficients without intercept) / (2 C). A step that doesn't
-    lower the loss is halved. Ends when no score equation is off by more than ``tolerance`` times the rows,
-    and fails after ``most`` passes.
+    lower the loss is halved. A model is ready when no score equation is off by more than ``tolerance`` times
+    the rows, and the others go on without it; fails after ``most`` passes.
     """
     d, n = len(design.names), len(strengths)
-    count = rows.count()
+    blocks = _blocks(rows, design)
+    count = blocks.agg(F.sum("n")).first()[0] or 0
     penalty = np.ones((n, d)) / np.asarray(strengths, dtype=float)[:, None]
     penalty[:, 0] = 0.0
     best, tried = np.zeros((n, d)), np.zeros((n, d))
     least, step = np.full(n, np.inf), np.zeros((n, d))
-    gap = np.full(n, np.inf)
-    for passes in range(1, most + 1):
-        loss, gradient, curvature = _sums(rows, tried)
-        loss = loss + (penalty * tried**2).sum(axis=1) / 2
-        for k in range(n):
+    gap, passes, going = np.full(n, np.inf), np.zeros(n, int), np.arange(n)
+    while len(going) and passes.max() < most:
+        loss, gradient, curvature = _sums(blocks, tried[going], len(design.categories))
+        passes[going] += 1
+        loss = loss + (penalty[going] * tried[going] ** 2).sum(axis=1) / 2
+        for i, k in enumerate(going):
             # Equal but for rounding counts as lower: near the optimum the loss no longer tells.
-            if loss[k] <= least[k] + 1e-12 * abs(loss[k]):
-                slope = gradient[k] + penalty[k] * tried[k]
-                best[k], least[k], gap[k] = tried[k], loss[k], np.abs(slope).max()
-                step[k] = -np.linalg.lstsq(curvature[k] + np.diag(penalty[k]), slope, rcond=None)[0]
+            if loss[i] <= least[k] + 1e-12 * abs(loss[i]):
+                slope = gradient[i] + penalty[k] * tried[k]
+                best[k], least[k], gap[k] = tried[k], loss[i], np.abs(slope).max()
+                step[k] = -np.linalg.lstsq(curvature[i] + np.diag(penalty[k]), slope, rcond=None)[0]
             else:
                 step[k] /= 2
-        if (gap <= tolerance * max(count, 1)).all():
-            return [Logistic(design, best[k], passes, float(gap[k])) for k in range(n)]
         tried = best + step
-    raise ValueError(f"no optimum after {most} passes")
+        going = np.flatnonzero(gap > tolerance * max(count, 1))
+    if len(going):
+        raise ValueError(f"no optimum after {most} passes")
+    drop_written(blocks)
+    return [Logistic(design, best[k], int(passes[k]), float(gap[k])) for k in range(n)]
 
 
 def fit_logistic(train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], c: float = 1.0) -> Logistic:

@@ -86,3 +86,29 @@ def test_separable_rows_have_an_optimum_by_the_penalty(spark):
     df = spark.createDataFrame([(float(i), int(i >= 10)) for i in range(20)], "x DOUBLE, y INT")
     model = newton.fit_logistic(df, "y", [], ["x"], c=100.0)
     assert model.passes < 40 and model.apply(df).where("prediction <> y").count() == 0
+
+
+def test_blocks_hold_the_rows(spark, fitted, monkeypatch):
+    design, rows, models = fitted
+    d, ones = len(design.names), len(design.categories)
+    wanted = sorted(map(tuple, rows.select("y", "w", *[f"x{i}" for i in range(d - 1)]).collect()))
+    for bits, block in ((62, 65_536), (5, 100)):
+        monkeypatch.setattr(newton, "BITS", bits)
+        monkeypatch.setattr(newton, "BLOCK", block)
+        packed = newton._blocks(rows, design).collect()
+        assert max(b["n"] for b in packed) <= max(block // d, 1) and len(packed) < len(wanted)
+        found = []
+        for b in packed:
+            matrix, y, w = newton._unpacked(b["n"], b["ones"], b["numbers"], ones)
+            assert (matrix[:, 0] == 1).all()
+            found += map(tuple, np.column_stack([y, w, matrix[:, 1:]]).tolist())
+        assert sorted(found) == wanted
+
+
+def test_a_pass_reads_blocks_and_leaves_out_ready_models(fitted, monkeypatch):
+    design, rows, models = fitted
+    seen, sums = [], newton._sums
+    monkeypatch.setattr(newton, "_sums", lambda blocks, tried, ones: seen.append((blocks.columns, len(tried))) or sums(blocks, tried, ones))
+    again = newton.fit_many(rows, design, [1e-6, 10.0])
+    assert seen[0] == (["n", "ones", "numbers"], 2) and seen[-1][1] == 1 and len(seen) == again[1].passes > again[0].passes
+    assert np.allclose(again[1].coefficients, models[2].coefficients, atol=1e-9)
