@@ -30,7 +30,7 @@ from galewright.session import drop_written, materialize, ship_package
 BINS = 32
 TOGETHER = 300
 CELLS = 8_000_000
-FINISHED = 32_768
+FINISHED = 50_000
 
 
 @dataclass(frozen=True)
@@ -284,7 +284,8 @@ def _finished(growing: Growing, matrix: np.ndarray, drawn: np.ndarray, place: np
 
 @dataclass
 class Growing:
-    """A tree, its number (which decides its draws), the fewest rows of a leaf, its depth, and its counted rows in open nodes."""
+    """A tree, its number (which decides its draws), the fewest rows of a leaf, its depth, and about how many counted rows
+    lie in open nodes."""
 
     tree: Tree
     number: int
@@ -292,8 +293,13 @@ class Growing:
     depth: int
     rows: int
 
-    def grow(self, splits: np.ndarray, weights: Sequence[float]) -> None:
-        self.tree.grow(splits, weights, last=len(self.tree.ends) == self.depth)
+    def grow(self, found: int, splits: Sequence[np.ndarray], weights: Sequence[float]) -> None:
+        """Grow by the splits of a level, or of all further ones; its rows are taken to stay open as its drawn rows do."""
+        for each in splits:
+            self.tree.grow(each, weights, last=len(self.tree.ends) == self.depth)
+        halves = np.stack([splits[0][:, 4:6], splits[0][:, 2:4] - splits[0][:, 4:6]])
+        still = halves[(halves > 0).all(axis=2) & (splits[0][:, 0] >= 0)].sum()
+        self.rows = int(found * still / max(splits[0][:, 2:4].sum(), 1))
 
 
 def _level(rows: DataFrame, bins: Bins, trees: dict[int, Growing], weights: Sequence[float], seed: int) -> dict[int, tuple[int, list[np.ndarray]]]:
@@ -382,9 +388,7 @@ def fit_many(rows: DataFrame, bins: Bins, wanted: Sequence[dict[str, int]], seed
             if not found:  # no rows
                 return
             for i, (left, splits) in found.items():
-                growing[i].rows = left
-                for s in splits:
-                    growing[i].grow(s, weights)
+                growing[i].grow(left, splits, weights)
 
     alike = sorted(grown.values(), key=lambda g: (g.depth, g.leaf, g.number))
     with ThreadPool(parallelism) as pool:

@@ -168,20 +168,22 @@ def tune(
     are counted by label and bins once for all forests (``forest.counted_rows``), which are grown from these counts
     in shared passes (``forest.fit_many``).
     """
+    logistic = [t for t in trials if t.classifier == LOGISTIC]
     forests = [t for t in trials if t.classifier != LOGISTIC]
-    found: dict[int, float] = {}
-    if forests:
-        bins = forest_.Bins.fitted(train, categorical, numeric)
-        ready, held_out = (forest_.counted_rows(part, bins, label) for part in (train, validation))
-
-        models = forest_.fit_many(ready, bins, [_forest_params(t) for t in forests], seed, parallelism)
-
-        def run(model: forest_.Forest) -> float:
-            return averaged_metrics(model.counted_predictions(held_out), "y", "prediction").first()["weighted_f1"]
+    with ThreadPool(parallelism) as pool:
+        # Passes of logistic models are short, so that they run beside those of the forests.
+        beside = pool.apply_async(_logistic_trials, (train, validation, label, categorical, numeric, logistic))
+        found: dict[int, float] = {}
+        if forests:
+            bins = forest_.Bins.fitted(train, categorical, numeric)
+            ready, held_out = pool.map(lambda part: forest_.counted_rows(part, bins, label), (train, validation), chunksize=1)
+            models = forest_.fit_many(ready, bins, [_forest_params(t) for t in forests], seed, parallelism)
+
+            def run(model: forest_.Forest) -> float:
+                return averaged_metrics(model.counted_predictions(held_out), "y", "prediction").first()["weighted_f1"]
 
-        with ThreadPool(parallelism) as pool:
             found |= zip((t.number for t in forests), pool.map(run, models, chunksize=1))
-    found |= _logistic_trials(train, validation, label, categorical, numeric, [t for t in trials if t.classifier == LOGISTIC])
+        found |= beside.get()
     values = [found[t.number] for t in trials]
     best = max(zip(values, trials), key=lambda pair: (pair[0], -pair[1].number))[1]
     return TuningResult(best, trial_table(train.sparkSession, trials, values))
@@ -226,14 +228,14 @@ def refit_best(
     """The best trial fitted on the whole training part, and its metrics on both parts; a forest scores equal rows once."""
     if best.classifier == LOGISTIC:
         model = newton.fit_logistic(train, label, categorical, numeric, best.params["C"])
-        found = [evaluate(model.apply(part), label, prefix) for part, prefix in ((train, "training_"), (test, "test_"))]
+        scored, y = [model.apply(part) for part in (train, test)], label
     else:
         bins = forest_.Bins.fitted(train, categorical, numeric)
-        on_train, on_test = (forest_.counted_rows(part, bins, label) for part in (train, test))
-        model = forest_.fit_counted(on_train, bins, **_forest_params(best), seed=seed)
-        sides = ((on_train, "training_"), (on_test, "test_"))
-        found = [evaluate(model.counted_predictions(part), "y", prefix) for part, prefix in sides]
-    return model, found[0].unionByName(found[1])
+        counted = [forest_.counted_rows(part, bins, label) for part in (train, test)]
+        model = forest_.fit_counted(counted[0], bins, **_forest_params(best), seed=seed)
+        scored, y = [model.counted_predictions(part) for part in counted], "y"
+    on_train, on_test = (evaluate(rows, y, prefix) for rows, prefix in zip(scored, ("training_", "test_")))
+    return model, on_train.unionByName(on_test)
 
 
 def top_importances(model: PipelineModel, sample: DataFrame, k: int = 15, features: str = "features") -> DataFrame:
